@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioscope.llm import cooccur, topn
+from biblioscope.llm import cooccur, topn, vectors
 from biblioscope.session import table
 
 
@@ -25,10 +25,26 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topn.top_edges(table(spark, sf_dir, "extraction_edges"))
 
 
+def _similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = {"entity_embeddings": "entity_id", "paragraph_embeddings": "paragraph_id"}
+    return vectors.similar_pairs({t: table(spark, sf_dir, t).select(F.col(k).alias("id"), "embedding") for t, k in keys.items()})
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _similar(spark, sf_dir).select("id_a", "id_b").distinct()
+
+
+def p5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs with the table they stand in and their cosine."""
+    return _similar(spark, sf_dir).withColumn("cosine", F.round("cosine", 6))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_lift": p1_lift,
     "p2_found": p2_found,
+    "p5_found": p5_found,
+    "p5_nearest": p5_nearest,
 }
 
 _ITEMS = r"""
