@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioscope.llm import cooccur, topn, vectors
+from biblioscope.llm import cooccur, spans, topn, vectors
 from biblioscope.session import table
 
 
@@ -39,12 +39,23 @@ def p5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _similar(spark, sf_dir).withColumn("cosine", F.round("cosine", 6))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.sharing_pairs(table(spark, sf_dir, "documents"))
+
+
+def p8_shared_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of every document stands elsewhere, with its class of copies."""
+    return spans.shared_part(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_lift": p1_lift,
     "p2_found": p2_found,
     "p5_found": p5_found,
     "p5_nearest": p5_nearest,
+    "p8_found": p8_found,
+    "p8_shared_part": p8_shared_part,
 }
 
 _ITEMS = r"""
