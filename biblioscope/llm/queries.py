@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioscope.llm import cooccur, spans, topn, vectors
+from biblioscope.llm import cooccur, leaks, spans, topn, vectors
 from biblioscope.session import table
 
 
@@ -39,6 +39,19 @@ def p5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _similar(spark, sf_dir).withColumn("cosine", F.round("cosine", 6))
 
 
+def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leaked_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _leaks(spark, sf_dir).select("doc_id", "item_id").distinct()
+
+
+def p6_removal_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stretches of each document to be removed, with the items they leak."""
+    return leaks.removal_spans(_leaks(spark, sf_dir))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.sharing_pairs(table(spark, sf_dir, "documents"))
 
@@ -54,6 +67,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p5_found": p5_found,
     "p5_nearest": p5_nearest,
+    "p6_found": p6_found,
+    "p6_removal_spans": p6_removal_spans,
     "p8_found": p8_found,
     "p8_shared_part": p8_shared_part,
 }
