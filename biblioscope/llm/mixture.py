@@ -1,0 +1,179 @@
+"""Mixing records of several sources so that each gives its target share of all tokens.
+
+Poisson replication: a record of a source with rate r is used as often as a Poisson variable with the mean that
+gives r uses on average below the cap; the variable is the inverse of its distribution at a number hashed from
+the record's key and a seed. So each record decides for itself, in any order, on any machine, the same way.
+"""
+
+from __future__ import annotations
+
+import base64
+import math
+from functools import lru_cache
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from biblioscope.session import cut
+
+#: A public byte-level vocabulary as ranks; the path is a parameter.
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: The split pattern that belongs to it (a fixed value of the public vocabulary).
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: A piece longer than this is counted in parts, as the encoder's time grows faster than a piece's length.
+LONG = 20_000
+#: Most different sources among the targets.
+MOST_SOURCES = 10_000
+
+
+@lru_cache(maxsize=4)
+def _encoding(path: str):
+    import tiktoken
+
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+    return tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def token_count(text: Column, ranks: str = RANKS) -> Column:
+    """Tokens of a text under a public vocabulary; 0 for null and empty texts. Texts are counted whole: one
+    beyond LONG characters is counted in parts cut at white space, or at LONG where there is none."""
+
+    def parts(t: str) -> list[str]:
+        if len(t) <= LONG:
+            return [t]
+        out, at = [], 0
+        while at < len(t):
+            end = min(len(t), at + LONG)
+            if end < len(t):
+                space = max(t.rfind(" ", at + 1, end), t.rfind("\n", at + 1, end))
+                end = space if space > at else end
+            out.append(t[at:end])
+            at = end
+        return out
+
+    @F.pandas_udf("bigint")
+    def count(texts: pd.Series) -> pd.Series:
+        encode = _encoding(ranks).encode_ordinary
+        return pd.Series([sum(len(encode(p)) for p in parts(t)) if t else 0 for t in texts], dtype="int64")
+
+    return F.coalesce(count(text), F.lit(0).cast("long"))
+
+
+def source_name(col: Column) -> Column:
+    """A source's name in one form: lower case, no white space around it, one '_' for runs of '-', '_' and white
+    space. Null and blank names become null."""
+    name = F.regexp_replace(F.lower(F.regexp_replace(col, r"(?U)^\s+|\s+$", "")), r"(?U)[\s_\-]+", "_")
+    return F.when(name != "", name)
+
+
+def mean_uses(rate: float, cap: int) -> float:
+    """E[min(X, cap)] of a Poisson variable X with mean ``rate``."""
+    p, below, used = math.exp(-rate), 0.0, 0.0
+    for n in range(cap):
+        below += p
+        used += n * p
+        p *= rate / (n + 1)
+    return used + cap * max(0.0, 1.0 - below)
+
+
+def poisson_steps(wanted: float, cap: int) -> list[float]:
+    """P(X <= 0), P(X <= 1), ... P(X <= cap - 1) for the rate at which min(X, cap) has mean ``wanted``."""
+    if wanted <= 0:
+        return [1.0] * cap
+    if wanted >= cap * (1 - 1e-9):
+        return [0.0] * cap
+    lo, hi = 0.0, 1.0
+    while mean_uses(hi, cap) < wanted:
+        hi *= 2
+    for _ in range(100):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if mean_uses(mid, cap) < wanted else (lo, mid)
+    steps, p, total = [], math.exp(-hi), 0.0
+    for n in range(cap):
+        total += p
+        steps.append(min(1.0, total))
+        p *= hi / (n + 1)
+    return steps
+
+
+def clean_targets(targets: DataFrame) -> DataFrame:
+    """(name, target_share, max_repeats) by source in one form; null and negative shares, and caps below 1, give
+    none. Shares of names that become one are added, of their caps the greatest holds."""
+    rows = targets.select(source_name(F.col("source")).alias("name"), F.col("target_share").cast("double").alias("target_share"), F.col("max_repeats").cast("int").alias("max_repeats"))
+    fine = rows.where("name IS NOT NULL AND target_share > 0 AND NOT isnan(target_share) AND max_repeats >= 1")
+    return fine.groupBy("name").agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
+
+
+def weigh(docs: DataFrame, *, id_col: str = "doc_id", source: str = "source", text: str = "text", ranks: str = RANKS) -> DataFrame:
+    """(key, name, tokens) of every record."""
+    return docs.select(F.col(id_col).alias("key"), source_name(F.col(source)).alias("name"), token_count(F.col(text), ranks).alias("tokens"))
+
+
+def plan(weighed: DataFrame, targets: DataFrame, total_tokens: float | None = None) -> list[dict]:
+    """Uses per record and Poisson steps of each source that has a target and tokens.
+
+    Shares are those of the sources present, scaled to add up to 1. Without ``total_tokens`` the mixture is the
+    largest in which every source can give its share within its cap; with it, a source that cannot is used up to
+    its cap. One row per target source passes the driver, at most MOST_SOURCES.
+    """
+    wanted = clean_targets(targets).limit(MOST_SOURCES + 1)
+    sums = weighed.groupBy("name").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("records"))
+    rows = [r.asDict() for r in wanted.join(sums, "name").where("tokens > 0").collect()]
+    if len(rows) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources have a target")
+    whole = sum(r["target_share"] for r in rows)
+    for r in rows:
+        r["share"] = r["target_share"] / whole
+    reach = min((r["max_repeats"] * r["tokens"] / r["share"] for r in rows), default=0.0)
+    size = reach if total_tokens is None else total_tokens
+    for r in rows:
+        r["uses"] = min(float(r["max_repeats"]), size * r["share"] / r["tokens"])
+        r["steps"] = poisson_steps(r["uses"], r["max_repeats"])
+    return rows
+
+
+def unit(key: Column, seed: int) -> Column:
+    """A number in (0, 1) hashed from a key."""
+    return (F.shiftrightunsigned(F.xxhash64(F.lit(seed), key), 11).cast("double") + 0.5) / float(1 << 53)
+
+
+def replicate(weighed: DataFrame, rows: list[dict], seed: int = 42) -> DataFrame:
+    """Adds ``copies``, how often each record of a source with a target is used; others are left out."""
+    spark = weighed.sparkSession
+    steps = spark.createDataFrame([(r["name"], r["steps"]) for r in rows], "name string, steps array<double>")
+    used = weighed.join(F.broadcast(steps), "name").withColumn("u", unit(F.col("key"), seed))
+    return used.withColumn("copies", F.size(F.filter("steps", lambda p: p <= F.col("u")))).drop("steps", "u").where("copies > 0")
+
+
+def mixture(docs: DataFrame, targets: DataFrame, *, id_col: str = "doc_id", source: str = "source", text: str = "text", seed: int = 42, ranks: str = RANKS, total_tokens: float | None = None) -> DataFrame:
+    """(key, name, copy_no, tokens, place): the mixture, one row for each use of a record, in random order.
+
+    ``place`` is a hash of (key, copy) that orders the whole mixture; rows come sorted by it, in partitions of
+    ranges of it. Records with a null or unknown source, or a source without target, are left out; records
+    without text have 0 tokens and are used at their source's rate. Keys should be unique: records with equal
+    keys are used equally often. Empty documents or targets give an empty mixture.
+    """
+    weighed = cut(weigh(docs, id_col=id_col, source=source, text=text, ranks=ranks))
+    chosen = replicate(weighed, plan(weighed, targets, total_tokens), seed)
+    each = chosen.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    placed = each.withColumn("place", F.xxhash64(F.lit(seed + 1), "key", "copy_no"))
+    return placed.select("key", "name", F.col("copy_no").cast("long").alias("copy_no"), "tokens", "place").orderBy("place", "key", "copy_no")
+
+
+def shares_reached(docs: DataFrame, targets: DataFrame, *, id_col: str = "doc_id", source: str = "source", text: str = "text", seed: int = 42, ranks: str = RANKS, total_tokens: float | None = None) -> DataFrame:
+    """(source, target_share, share_of_present, max_repeats, records, tokens, uses, tokens_used, share_reached,
+    most_uses) of every source with a target or a record; '' stands for records without a source."""
+    weighed = cut(weigh(docs, id_col=id_col, source=source, text=text, ranks=ranks))
+    rows = plan(weighed, targets, total_tokens)
+    used = replicate(weighed, rows, seed).groupBy("name").agg(F.sum("copies").alias("uses"), F.sum(F.col("copies") * F.col("tokens")).alias("tokens_used"), F.max("copies").alias("most_uses"))
+    held = weighed.withColumn("name", F.coalesce("name", F.lit(""))).groupBy("name").agg(F.count("*").alias("records"), F.sum("tokens").alias("tokens"))
+    present = weighed.sparkSession.createDataFrame([(r["name"], r["share"]) for r in rows], "name string, share_of_present double")
+    total = used.agg(F.sum("tokens_used").alias("total")).first()["total"]
+    joined = clean_targets(targets).join(held, "name", "full").join(F.broadcast(present), "name", "left").join(used, "name", "left")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+    return joined.select(
+        F.col("name").alias("source"), F.coalesce("target_share", F.lit(0.0)).alias("target_share"), F.coalesce("share_of_present", F.lit(0.0)).alias("share_of_present"), "max_repeats",
+        zero("records"), zero("tokens"), zero("uses"), zero("tokens_used"), F.coalesce(F.try_divide(F.col("tokens_used"), F.lit(total)), F.lit(0.0)).alias("share_reached"), zero("most_uses"),
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioscope.llm import cooccur, leaks, spans, topn, vectors
+from biblioscope.llm import canonical, cooccur, leaks, mixture, spans, topn, vectors
 from biblioscope.session import table
 
 
@@ -25,6 +25,15 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topn.top_edges(table(spark, sf_dir, "extraction_edges"))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical.resolve(table(spark, sf_dir, "entities"), table(spark, sf_dir, "reference_entities"))
+
+
+def p3_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every different name that denotes an entry, with how well it fits."""
+    return canonical.canonical(table(spark, sf_dir, "entities"), table(spark, sf_dir, "reference_entities")).withColumn("score", F.round("score", 6))
+
+
 def _similar(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = {"entity_embeddings": "entity_id", "paragraph_embeddings": "paragraph_id"}
     return vectors.similar_pairs({t: table(spark, sf_dir, t).select(F.col(k).alias("id"), "embedding") for t, k in keys.items()})
@@ -52,6 +61,16 @@ def p6_removal_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.removal_spans(_leaks(spark, sf_dir))
 
 
+def p7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixture.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+    return mixed.withColumnRenamed("key", "doc_id").withColumnRenamed("name", "source")
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each source was to give and what it gave."""
+    return mixture.shares_reached(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.sharing_pairs(table(spark, sf_dir, "documents"))
 
@@ -65,10 +84,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_lift": p1_lift,
     "p2_found": p2_found,
+    "p3_found": p3_found,
+    "p3_names": p3_names,
     "p5_found": p5_found,
     "p5_nearest": p5_nearest,
     "p6_found": p6_found,
     "p6_removal_spans": p6_removal_spans,
+    "p7_mixture": p7_mixture,
+    "p7_shares": p7_shares,
     "p8_found": p8_found,
     "p8_shared_part": p8_shared_part,
 }
