@@ -135,7 +135,7 @@ def _score(name: list[str], known: set[str], form: list[str], codes: list[bool],
         for k in free:
             if name[k] in known and name[k] != form[w]:
                 continue  # a word of the vocabulary means itself
-            s = likeness(name[k], form[w], codes[w], k == len(name) - 1)
+            s = likeness(name[k], form[w], codes[w], k in (0, len(name) - 1))
             if s > best:
                 best, at = s, k
         if at < 0:
@@ -159,6 +159,8 @@ def agreement(name: list[str], known: set[str], form: list[str], codes: list[boo
     for k, t in enumerate(name):
         if m := re.fullmatch(r"([^\W\d]{5,})([015])", t):  # the digit at the end may be a number after all
             ways.append([*name[:k], m[1], m[2], *name[k + 1 :]])
+        if len(t) == 4 and t.isalpha() and k + 1 < len(name) and name[k + 1] in "015":  # or a misread letter
+            ways.append([*name[:k], t + name[k + 1], *name[k + 2 :]])
         for w in form:  # two words run together
             if len(t) >= len(w) + 2 and len(w) >= 4 and t not in known:
                 if t.startswith(w):
@@ -168,10 +170,12 @@ def agreement(name: list[str], known: set[str], form: list[str], codes: list[boo
         if k + 1 < len(name) and (t not in known or name[k + 1] not in known) and not t.isdigit() and not name[k + 1].isdigit():
             ways.append([*name[:k], t + name[k + 1], *name[k + 2 :]])
     best = max((0.98 * _score(w, known, form, codes, weights, also) for w in ways), default=0.0)
-    whole, run = "".join(form), "".join(t for k, t in enumerate(name) if not _is_dressing(t, k == len(name) - 1) or t in form)
-    if not best and len(form) > 1 and len(whole) >= 8 and len(name) < len(form) and re.sub(r"\D", "", run) == re.sub(r"\D", "", whole):  # all words run together
-        d = edits(run, whole, 1)
-        best = 0.95 - d / len(whole) if d <= 1 else 0.0
+    if not best and len(form) > 1 and len(name) < len(form):  # all words run together
+        whole, run = "".join(form), "".join(t for k, t in enumerate(name) if not _is_dressing(t, k == len(name) - 1) or t in form)
+        number = re.search(r"\d*$", whole)[0]
+        if len(whole) >= 8 and run.endswith(number):
+            n = len(number)
+            best = 0.95 * likeness(run[: len(run) - n], whole[: len(whole) - n], False, not n)
     return best
 
 
@@ -244,7 +248,11 @@ def canonical(names: DataFrame, reference: DataFrame) -> DataFrame:
     different = names.select("name").where(F.col("name").isNotNull() & (F.regexp_replace("name", r"(?U)\s+", "") != "")).distinct()
     parted = cut(_with_list(different, "name", "tokens", tokens_of, "array<string>"))
     forms = cut(reference_forms(reference))
-    words = forms.select(F.explode("tokens").alias("word")).distinct()
+    run_together = F.array_join("form_tokens", "")
+    entries = forms.select("anchor", "form", "ref_id", F.col("tokens").alias("form_tokens"), "codes", "weights", "also")
+    # a form is also found by its words run together
+    anchors = entries.unionByName(entries.where(F.size("form_tokens") > 1).withColumn("anchor", run_together))
+    words = forms.select(F.explode("tokens").alias("word")).union(anchors.select("anchor")).distinct()
     # tokens of names, and neighbours that may be one word
     neighbours = F.transform(F.sequence(F.lit(0), F.size("tokens") - 2), lambda i: F.concat(F.get("tokens", i), F.get("tokens", i + 1)))
     asked = parted.withColumn("all", F.concat("tokens", F.when(F.size("tokens") > 1, neighbours).otherwise(F.array().cast("array<string>")))).select("name", F.explode(F.array_distinct("all")).alias("token"))
@@ -255,8 +263,7 @@ def canonical(names: DataFrame, reference: DataFrame) -> DataFrame:
     cut_off = F.col("word").startswith(F.col("token")) | F.col("token").startswith(F.col("word")) | F.col("token").endswith(F.col("word"))
     met = probes.join(index, "key").where(F.col("key").startswith("f") | (near >= 0) | cut_off)
     repaired = cut(met.select("token", "word").distinct())
-    anchors = forms.select("anchor", "form", "ref_id", F.col("tokens").alias("form_tokens"), "codes", "weights", "also")
-    exact = repaired.where("token = word").select("token")
+    exact = forms.select(F.explode("tokens").alias("token")).distinct()
     known = asked.join(exact, "token").groupBy("name").agg(F.collect_set("token").alias("known"))
     candidates = asked.join(repaired, "token").select("name", F.col("word").alias("anchor")).distinct().join(anchors, "anchor").join(parted, "name").join(known, "name", "left")
 
