@@ -175,7 +175,9 @@ def agreement(name: list[str], known: set[str], form: list[str], codes: list[boo
         number = re.search(r"\d*$", whole)[0]
         if len(whole) >= 8 and run.endswith(number):
             n = len(number)
-            best = 0.95 * likeness(run[: len(run) - n], whole[: len(whole) - n], False, not n)
+            # no word of the form may be missing: cut off is at most the end of the last one
+            if abs(len(run) - len(whole)) <= 1 or (len(name) == 1 and len(run) >= len(whole) - len(form[-1]) + 3):
+                best = 0.95 * likeness(run[: len(run) - n], whole[: len(whole) - n], False, not n)
     return best
 
 
