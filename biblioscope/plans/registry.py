@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from biblioscope.plans import nested
+from biblioscope.plans import counted, joined, lookups, nested
 
-MODULES = (nested,)
+MODULES = (lookups, joined, counted, nested)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
