@@ -70,9 +70,12 @@ def label_type(label: Column) -> Column:
 
 
 def json_part(c: Column) -> Column:
-    """The JSON in a chatty answer: from the first '[' to the last ']', else from '{' to '}'; null if none parses."""
-    listed, mapped = F.regexp_extract(c, r"(?s)(\[.*\])", 1), F.regexp_extract(c, r"(?s)(\{.*\})", 1)
-    return F.coalesce(F.try_parse_json(F.nullif(listed, F.lit(""))), F.try_parse_json(F.nullif(mapped, F.lit(""))))
+    """The JSON in a chatty answer: from the first '[' or '{', whichever comes first, to the last that closes it;
+    else from the other; null if neither parses."""
+    part = lambda o, e: F.try_parse_json(F.nullif(F.regexp_extract(c, rf"(?s)(\{o}.*\{e})", 1), F.lit("")))
+    listed, mapped = part("[", "]"), part("{", "}")
+    at = lambda o: F.nullif(F.instr(c, o), F.lit(0))
+    return F.when(at("{") < F.coalesce(at("["), F.lit(2**31 - 1)), F.coalesce(mapped, listed)).otherwise(F.coalesce(listed, mapped))
 
 
 def entity_text(name: Column, synonyms: Column, abbreviations: Column) -> Column:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from biblioscope.plans import counted, joined, lookups, nested
+from biblioscope.plans import checked, counted, joined, lookups, nested, sourced, texts
 
-MODULES = (lookups, joined, counted, nested)
+MODULES = (lookups, joined, counted, texts, checked, sourced, nested)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
