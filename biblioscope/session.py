@@ -3,13 +3,29 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Give the package to the executors once, where Python workers cannot import it by themselves."""
+    sc = spark.sparkContext
+    if getattr(sc, "_biblioscope_shipped", None) != sc.applicationId:
+        home = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="biblioscope-code-")) / f"{home.name}.zip"
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(home.rglob("*.py")):
+                z.write(f, f.relative_to(home.parent))
+        sc.addPyFile(str(archive))
+        sc._biblioscope_shipped = sc.applicationId
+    return spark
+
+
 def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A local session for tests and benchmarks. Clusters bring their own session."""
-    return (
+    return ship(
         SparkSession.builder.master(f"local[{cores}]")
         .appName("biblioscope")
         .config("spark.sql.shuffle.partitions", str(partitions))
@@ -24,7 +40,7 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g") ->
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -33,7 +49,7 @@ def cut(df: DataFrame) -> DataFrame:
     The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset
     (tests, a laptop) a folder of this process is used. The copy survives the loss of executors.
     """
-    spark = df.sparkSession
+    spark = ship(df.sparkSession)
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
