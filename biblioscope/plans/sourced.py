@@ -50,7 +50,7 @@ QUERIES = {
     "s12_documents": lambda s, d: A.documents_of(table(s, d, "papers")),
     "s14_sections": _sections,
     "s16_paragraph_counts": lambda s, d: graph.paragraphs(s, d).groupBy("paper_id", "section").agg(F.count("*").alias("n")),
-    "s18_edge_lines": lambda s, d: table(s, d, "extraction_edges").select(F.to_json(F.struct("id", F.struct(F.col("subject.id").alias("id"), F.col("subject.name").alias("name")).alias("subject"))).alias("line")).where("line IS NOT NULL"),
+    "s18_edge_lines": lambda s, d: table(s, d, "extraction_edges").select(F.to_json(F.struct("id", F.struct(F.col("subject.id").alias("id"), F.col("subject.name").alias("name")).alias("subject")), {"ignoreNullFields": "false"}).alias("line")).where("line IS NOT NULL"),
     "stream_windows": lambda s, d: E.windowed(table(s, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))),
     "stream_sessions": lambda s, d: E.sessions(table(s, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))).select("user_id", "start", "n"),
 }
@@ -62,6 +62,7 @@ SQL = {
     "s12_documents": "SELECT coalesce('doi:' || nullif(trim(doi), ''), 'pmid:' || nullif(trim(pmid), ''), nullif(trim(paper_id), '')) AS document_id, title, coalesce(abstract, '') AS content FROM papers WHERE coalesce(nullif(trim(doi), ''), nullif(trim(pmid), ''), nullif(trim(paper_id), '')) IS NOT NULL",
     "s14_sections": "WITH x AS (SELECT paper_id, list_filter([{'name': 'title', 'text': title}, {'name': 'abstract', 'text': abstract}, {'name': 'body', 'text': trim(coalesce(abstract, '') || ' ')}], lambda p: coalesce(p.text, '') <> '') AS parts FROM papers) SELECT paper_id, no, s.name AS name, s.text AS text FROM (SELECT paper_id, unnest(range(len(parts))) AS no, unnest(parts) AS s FROM x)",
     "s16_paragraph_counts": "SELECT paper_id, section, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY 1, 2",
+    "s18_edge_lines": "SELECT to_json({'id': id, 'subject': {'id': subject.id, 'name': subject.name}})::VARCHAR AS line FROM extraction_edges",
     "stream_windows": "SELECT time_bucket(INTERVAL '1 hour', ts)::TIMESTAMP AS start, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY 1, 2",
     "stream_sessions": "WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL '30 minutes' THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), g AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM e) SELECT user_id, min(ts) AS start, count(*) AS n FROM g GROUP BY user_id, k",
 }

@@ -106,6 +106,7 @@ _STOP = ", ".join(f"'{w}'" for w in X.EDGE_STOPWORDS)
 SQL = {
     "c1_claims": with_views("paragraphs_v", sql=f""", s AS ({_SENT.format(where=_EN)}), m AS (SELECT *, {_FIRST} AS predicate FROM s), c AS (SELECT *, row_number() OVER (PARTITION BY paragraph_id ORDER BY no) - 1 AS k FROM m WHERE predicate IS NOT NULL)
 SELECT 'PLACEHOLDER_SUBJECT_' || paragraph_id || '_claim_' || k AS subject_id, predicate, CASE WHEN section IN ('results', 'abstract') THEN 0.8 WHEN section = 'methods' THEN 0.6 ELSE 0.7 END::DOUBLE AS confidence, paper_id, section, sentence AS text_span FROM c"""),
+    "c1_claims_as_read": with_views("paragraphs_v", sql=f", s AS ({_SENT.format(where=_EN)}), m AS (SELECT *, {_FIRST} AS predicate FROM s), c AS (SELECT *, lag(sentence) OVER (PARTITION BY paragraph_id ORDER BY no) AS last FROM m WHERE predicate IS NOT NULL) SELECT predicate, count(*) AS n FROM c WHERE predicate = 'causes' OR last IS NULL OR last <> sentence GROUP BY 1"),
     "c1_sentences": with_views("paragraphs_v", sql=f", s AS ({_SENT.format(where='')}) SELECT paragraph_id, no, sentence FROM s"),
     "c4_all_claims": with_views("paragraphs_v", sql=f", s AS ({_SENT.format(where=_EN)}) " + " UNION ALL ".join(f"SELECT paragraph_id, no, '{p}' AS predicate FROM s WHERE {_says(p)}" for p in X.CLAIM_PATTERNS)),
     "c5_sample_sizes": with_views("paragraphs_v", sql=f"SELECT * FROM (SELECT paragraph_id, {_N} AS n FROM paragraphs_v {_EN}) WHERE n IS NOT NULL"),
@@ -127,6 +128,7 @@ SELECT paragraph_id, no, predicate, ids[1] AS subject_id, ids[2] AS object_id FR
     "e4_entities_from_mentions": "WITH m AS (SELECT regexp_replace(e.name, '^\\s+|\\s+$', '', 'g') AS name, p FROM (SELECT provenance.source_id AS p, unnest([subject, object]) AS e FROM extraction_edges) WHERE p IS NOT NULL AND e.type = 'disease' AND e.name IS NOT NULL), f AS (SELECT 'DISEASE:' || replace(lower(name), ' ', '_') AS entity_id, name, min(p || '|' || name) AS seq, count(*) AS n FROM m GROUP BY 1, 2), l AS (SELECT entity_id, list(name ORDER BY seq, name) AS forms, sum(n)::BIGINT AS n FROM f GROUP BY 1) SELECT entity_id, forms[1] AS name, coalesce(array_to_string(forms[2:], '|'), '') AS synonyms, n FROM l",
     "e5_ontologies": "SELECT entity_id, ontology, entity_id AS id FROM (SELECT entity_id, CASE WHEN contains(entity_id, ':') THEN lower(split_part(entity_id, ':', 1)) WHEN type = 'disease' AND regexp_matches(entity_id, '^C[0-9]+$') THEN 'umls' WHEN type = 'gene' THEN 'hgnc' WHEN type = 'drug' THEN 'rxnorm' WHEN type = 'protein' AND regexp_matches(entity_id, '^[PQ]') THEN 'uniprot' END AS ontology FROM reference_entities) WHERE ontology IS NOT NULL",
     "e6_resolved_mentions": f"WITH m AS (SELECT paper_id, name, hint, max(confidence) AS confidence FROM ({_NAMES}) GROUP BY 1, 2, 3) SELECT paper_id, name, coalesce(e.entity_id, 'prov:' || sha256(paper_id || '|' || name)) AS entity_id, CASE WHEN e.entity_id IS NULL THEN m.confidence * 0.5 ELSE m.confidence END AS confidence FROM m LEFT JOIN (SELECT DISTINCT entity_id FROM reference_entities) e ON e.entity_id = m.hint",
+    "e10_json_parts": "SELECT rec_id, json_extract_string(x, '$.paper_id') AS paper_id FROM (SELECT rec_id, ltrim(payload, chr(65279)) AS x FROM paper_json) WHERE json_valid(x) AND json_type(x) = 'OBJECT' AND json_extract_string(x, '$.paper_id') IS NOT NULL",
     "g1_entity_texts": "SELECT entity_id, array_to_string(list_concat(list_concat([name], coalesce(synonyms, [])[1:5]), coalesce(abbreviations, [])[1:3]), ' ') AS text FROM reference_entities",
     "g2_hash_vectors": "WITH b AS (SELECT entity_id, [('0x' || sha256(lower(name))[2 * i + 1:2 * i + 2])::INT / 255.0::DOUBLE for i in range(8)] AS raw FROM reference_entities) SELECT entity_id, unnest(range(8)) AS i, round(unnest(raw) / sqrt(list_sum([x * x for x in raw])), 9) AS x FROM b",
     "g4_relationship_texts": with_views("paper_rels_v", sql="SELECT paper_id, pos, coalesce(evidence, concat_ws(' ', subject_id, predicate, object_id)) AS text FROM paper_rels_v"),
