@@ -248,10 +248,11 @@ def canonical(names: DataFrame, reference: DataFrame) -> DataFrame:
     is chosen: such a name is left out, like those that denote nothing. A name that is repeated counts once.
     """
     different = names.select("name").where(F.col("name").isNotNull() & (F.regexp_replace("name", r"(?U)\s+", "") != "")).distinct()
-    # work per row is long against its bytes: partitions by number, which are not merged for being small
+    # work per row is long against its bytes: partitions by number, which are not
+    # merged for being small (nor dropped, as those by the column that was just grouped would be)
     spark = names.sparkSession
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    parted = cut(_with_list(different.repartition(tasks, "name"), "name", "tokens", tokens_of, "array<string>"))
+    parted = cut(_with_list(different.repartition(tasks, F.xxhash64("name")), "name", "tokens", tokens_of, "array<string>"))
     forms = cut(reference_forms(reference))
     run_together = F.array_join("form_tokens", "")
     entries = forms.select("anchor", "form", "ref_id", F.col("tokens").alias("form_tokens"), "codes", "weights", "also")
@@ -263,7 +264,7 @@ def canonical(names: DataFrame, reference: DataFrame) -> DataFrame:
     asked = parted.withColumn("all", F.concat("tokens", F.when(F.size("tokens") > 1, neighbours).otherwise(F.array().cast("array<string>")))).select("name", F.explode(F.array_distinct("all")).alias("token"))
     exact = forms.select(F.explode("tokens").alias("token")).distinct()
     # a word of the vocabulary means itself, so only the others are to be repaired
-    tokens = asked.select("token").distinct().join(exact, "token", "left_anti").repartition(tasks, "token")
+    tokens = asked.select("token").distinct().join(exact, "token", "left_anti").repartition(tasks, F.xxhash64("token"))
     index = _with_list(words, "word", "keys", vocabulary_keys, "array<string>").select("word", F.explode("keys").alias("key"))
     probes = _with_list(tokens, "token", "keys", token_keys, "array<string>").select("token", F.explode("keys").alias("key"))
     near = F.levenshtein("token", "word", MOST_EDITS + 1)
@@ -273,7 +274,7 @@ def canonical(names: DataFrame, reference: DataFrame) -> DataFrame:
     repaired = cut(met.select("token", "word").union(exact.select("token", F.col("token").alias("word"))).distinct())
     known = asked.join(exact, "token").groupBy("name").agg(F.collect_set("token").alias("known"))
     meant = asked.join(repaired.hint("merge"), "token").select("name", F.col("word").alias("anchor")).distinct()
-    candidates = meant.join(anchors.hint("merge"), "anchor").join(parted.hint("merge"), "name").join(known.hint("merge"), "name", "left").repartition(tasks, "name", "form")
+    candidates = meant.join(anchors.hint("merge"), "anchor").join(parted.hint("merge"), "name").join(known.hint("merge"), "name", "left").repartition(tasks, F.xxhash64("name", "form"))
 
     @F.pandas_udf("double")
     def scored(tokens: pd.Series, known: pd.Series, form: pd.Series, codes: pd.Series, weights: pd.Series, also: pd.Series) -> pd.Series:
