@@ -298,7 +298,8 @@ def leaked_passages(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id"
 
     ``items`` is a stated set of bounded size: more than ``most_items`` rows are refused. Null and empty texts,
     on either side, give nothing; of items with one id the greatest text counts. Documents are read whole; one
-    longer than a shard makes a shard of its own. Repeated documents each have their rows. Words are counted
+    longer than a shard is parted with an overlap, where a passage may come out twice. Repeated documents each
+    have their rows. Words are counted
     in the normalised text (from inclusive, to exclusive).
     """
     stated = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).where("i IS NOT NULL AND t IS NOT NULL").groupBy("i").agg(F.max("t").alias("t")).limit(most_items + 1).collect()
@@ -312,23 +313,28 @@ def leaked_passages(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id"
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = phrases.value
 
-        def shard(ids: list[int], parts: list[list[int]]) -> pd.DataFrame:
+        overlap = 4 * max((len(c) for c in known.coded.values()), default=0)
+
+        def shard(ids: list[tuple[int, int]], parts: list[list[int]]) -> pd.DataFrame:
             bounds = np.concatenate([[0], np.cumsum([len(p) + 1 for p in parts])])
             text = np.fromiter((x for p in parts for x in (*p, 0)), np.int64, int(bounds[-1]))
-            rows = [(ids[d], i, n, len(known.coded[i]), f - int(bounds[d]), t - int(bounds[d])) for d, i, n, f, t in _leaks_of_shard(text, bounds, known, part)]
-            return pd.DataFrame(rows, columns=names).astype("int64")
+            rows = {(ids[d][0], i, n, len(known.coded[i]), f - int(bounds[d]) + ids[d][1], t - int(bounds[d]) + ids[d][1]) for d, i, n, f, t in _leaks_of_shard(text, bounds, known, part)}
+            return pd.DataFrame(sorted(rows), columns=names).astype("int64")
 
         ids, parts, size = [], [], 0
         for batch in batches:
             for i, t in zip(batch["doc_id"], batch["text"]):
                 symbols = known.symbols(words_of(t))
-                if any(symbols):
-                    ids.append(i)
-                    parts.append(symbols)
-                    size += len(symbols) + 1
-                if size >= SHARD_WORDS:
-                    yield shard(ids, parts)
-                    ids, parts, size = [], [], 0
+                # a text longer than a shard is parted; the parts share more words than a passage can have
+                for at in range(0, max(1, len(symbols) - overlap), SHARD_WORDS):
+                    part_ = symbols[at : at + SHARD_WORDS + overlap]
+                    if any(part_):
+                        ids.append((i, at))
+                        parts.append(part_)
+                        size += len(part_) + 1
+                    if size >= SHARD_WORDS:
+                        yield shard(ids, parts)
+                        ids, parts, size = [], [], 0
         if ids:
             yield shard(ids, parts)
 

@@ -111,6 +111,11 @@ pairs AS (
 )
 """
 
+_RUNS = """
+WITH d AS (SELECT doc_id, text, length(text) AS n FROM documents WHERE text IS NOT NULL),
+w AS (SELECT doc_id, i, hash(substring(text, i + 1, 400)) AS h FROM (SELECT doc_id, text, unnest(range(n - 399)) AS i FROM d WHERE n >= 400))
+"""
+
 SQL: dict[str, str] = {
     "p1_found": _ITEMS + """
 SELECT item_a, item_b FROM pairs JOIN counts x ON x.item = item_a JOIN counts y ON y.item = item_b, total
@@ -131,6 +136,11 @@ WITH latest AS (
          count(*) OVER (PARTITION BY subject_id) AS n FROM valid
 )
 SELECT subject_id, rank_no, id AS edge_id FROM ranked WHERE n > 5 AND rank_no <= 5""",
+    "p8_found": _RUNS + "SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM (SELECT DISTINCT doc_id, h FROM w) a JOIN (SELECT DISTINCT doc_id, h FROM w) b ON a.h = b.h AND a.doc_id < b.doc_id",
+    "p8_shared_part": _RUNS + """, many AS (SELECT h FROM w GROUP BY h HAVING count(DISTINCT doc_id) > 1), hit AS (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS next FROM w WHERE h IN (FROM many)),
+covered AS (SELECT doc_id, sum(least(400, coalesce(next - i, 400)))::BIGINT AS c FROM hit GROUP BY 1), copies AS (SELECT text, min(doc_id) AS class_id, count(*) AS n_copies FROM d WHERE n >= 400 GROUP BY 1)
+SELECT d.doc_id AS doc, n AS n_chars, coalesce(c, 0) AS shared_chars, coalesce(round(coalesce(c, 0) / nullif(n, 0)::DOUBLE, 6), 0.0::DOUBLE) AS share, coalesce(class_id, d.doc_id) AS class_id, coalesce(n_copies, 1) AS n_copies
+FROM d LEFT JOIN covered ON covered.doc_id = d.doc_id LEFT JOIN copies ON copies.text = d.text AND n >= 400""",
 }
 
 

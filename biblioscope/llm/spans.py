@@ -21,8 +21,8 @@ from biblioscope.session import cut
 BASE = (0x9E3779B97F4A7C15) | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 SEED_K = 280
-#: Code points hashed at once; longer texts are hashed alone.
-BATCH_CHARS = 2_000_000
+#: Runs hashed at once.
+BLOCK = 1_000_000
 
 
 def code_points(text: str) -> np.ndarray:
@@ -74,27 +74,39 @@ def winnow(hashes: np.ndarray, w: int) -> np.ndarray:
     return np.flatnonzero(chosen)
 
 
-def _seeds_of_text(text: str, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, first place) of each different seed of one text."""
-    h = kmer_hashes(code_points(text), k)
-    at = winnow(h, w)
-    values, first = np.unique(h[at], return_index=True)
-    return values.view(np.int64), at[first]
+def _seeds_of_text(text: str, k: int, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first place, whether it comes again) of each different seed of one text. A long one is worked on in blocks that overlap by
+    all but one of the places of a window, so that every window lies in one of them."""
+    points = code_points(text)
+    hashes, places, steady, start = [], [], [], 0
+    while True:
+        h = kmer_hashes(points[start : start + BLOCK + k - 1], k)
+        at = winnow(h, w)
+        hashes.append(h[at])
+        places.append(at + start)
+        steady.append(h[np.minimum(at + 1, len(h) - 1)] == h[at] if len(h) > 1 else at < 0)  # a run of one character
+        if start + BLOCK + k - 1 >= len(points):
+            break
+        start += BLOCK - w + 1
+    hashes, places, steady = np.concatenate(hashes), np.concatenate(places), np.concatenate(steady)
+    distinct = np.unique(places, return_index=True)[1]  # of blocks that overlap
+    values, first, times = np.unique(hashes[distinct], return_index=True, return_counts=True)
+    return values.view(np.int64), places[distinct][first], (times > 1) | steady[distinct][first]
 
 
 def seeds(texts: DataFrame, k: int, w: int) -> DataFrame:
-    """(hash, i, pos) of every row of ``texts`` (i, text)."""
+    """(hash, i, pos, again) of every row of ``texts`` (i, text)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out: list[tuple] = []
             for i, text in zip(batch["i"], batch["text"]):
-                values, at = _seeds_of_text(text, k, w)
-                out.append((values, np.full(len(at), i), at))
+                values, at, again = _seeds_of_text(text, k, w)
+                out.append((values, np.full(len(at), i), at, again))
             if out:
-                yield pd.DataFrame({n: np.concatenate([o[j] for o in out]) for j, n in enumerate(("hash", "i", "pos"))})
+                yield pd.DataFrame({n: np.concatenate([o[j] for o in out]) for j, n in enumerate(("hash", "i", "pos", "again"))})
 
-    return texts.mapInPandas(run, "hash bigint, i bigint, pos bigint")
+    return texts.mapInPandas(run, "hash bigint, i bigint, pos bigint, again boolean")
 
 
 def chains(a: np.ndarray, b: np.ndarray, k: int, gap_cost: float = 0.5, drift_cost: float = 1.0) -> list[tuple[int, int, int, int]]:
@@ -140,8 +152,8 @@ def chains(a: np.ndarray, b: np.ndarray, k: int, gap_cost: float = 0.5, drift_co
 
 
 def identical_runs(x: np.ndarray, y: np.ndarray, least: int) -> list[tuple[int, int, int]]:
-    """(place in x, place in y, length): for every place of x that an identical run of ``least`` covers, the
-    runs that follow one diagonal. Places found by hash are compared code point by code point."""
+    """(place in x, place in y, length) of maximal identical runs that together cover every place of x that any
+    identical run of ``least`` covers. Places found by hash are compared code point by code point."""
     hx, hy = kmer_hashes(x, least), kmer_hashes(y, least)
     if not len(hx) or not len(hy):
         return []
@@ -149,53 +161,64 @@ def identical_runs(x: np.ndarray, y: np.ndarray, least: int) -> list[tuple[int,
     at = np.searchsorted(hy[sorted_y], hx)
     hit = np.flatnonzero((at < len(hy)) & (hy[sorted_y[np.minimum(at, len(hy) - 1)]] == hx))
     runs: list[tuple[int, int, int]] = []
-    for p in hit.tolist():
+    i = 0
+    while i < len(hit):
+        p = int(hit[i])
         q = int(sorted_y[at[p]])
-        if runs and runs[-1][0] <= p and p + least <= runs[-1][0] + runs[-1][2]:
+        ahead = min(len(x) - p, len(y) - q)
+        differ = np.flatnonzero(x[p : p + ahead] != y[q : q + ahead])
+        ahead = int(differ[0]) if len(differ) else ahead
+        if ahead < least:  # equal hashes of different runs
+            i += 1
             continue
-        if runs and p - q == runs[-1][0] - runs[-1][1] and p <= runs[-1][0] + runs[-1][2]:
-            continue
-        length = min(len(x) - p, len(y) - q)
-        differ = np.flatnonzero(x[p : p + length] != y[q : q + length])
-        length = int(differ[0]) if len(differ) else length
-        if length >= least:
-            runs.append((p, q, length))
+        back = min(p, q)
+        differ = np.flatnonzero(x[p - back : p] != y[q - back : q])
+        back = back - 1 - int(differ[-1]) if len(differ) else back
+        runs.append((p - back, q - back, back + ahead))
+        end = p + ahead
+        # go on from the last hit that starts within the run, if it reaches beyond it
+        j = int(np.searchsorted(hit, end, side="right")) - 1
+        i = j + 1 if j <= i or int(hit[j]) + least <= end else j
     return runs
 
 
-def _aligned(row: tuple, k: int, least: int) -> list[tuple[int, int, int]]:
-    """Maximal identical runs within the chained parts of two texts, each part widened by ``least``."""
-    text_a, text_b, pos_a, pos_b = row
+def _aligned(text_a: str, text_b: str, pos_a: np.ndarray, pos_b: np.ndarray, whole: bool, k: int, least: int) -> list[tuple[int, int, int]]:
+    """Maximal identical runs within the chained parts of two texts, each part widened to where a run can reach;
+    within the whole texts where one repeats a seed, as only its first place is known."""
     x, y = code_points(text_a), code_points(text_b)
-    found: set[tuple[int, int, int]] = set()
+    if whole:
+        return sorted(set(identical_runs(x, y, least)) | {(p, q, n) for q, p, n in identical_runs(y, x, least)})
     parts = chains(np.asarray(pos_a), np.asarray(pos_b), k)
-    if len(parts) > 1:  # several chains: their hull in both texts
-        parts = [(min(p[0] for p in parts), max(p[1] for p in parts), min(p[2] for p in parts), max(p[3] for p in parts))]
+    found: set[tuple[int, int, int]] = set()
     for a0, a1, b0, b1 in parts:
-        # a run may reach on to where the texts end
-        while a0 > 0 and b0 > 0 and x[a0 - 1] == y[b0 - 1]:
-            a0, b0 = a0 - 1, b0 - 1
-        a0, b0, a1, b1 = max(0, a0 - least), max(0, b0 - least), min(len(x), a1 + least), min(len(y), b1 + least)
-        for p, q, n in identical_runs(x[a0:a1], y[b0:b1], least):
-            p, q = p + a0, q + b0
-            more = min(len(x) - p - n, len(y) - q - n)
-            differ = np.flatnonzero(x[p + n : p + n + more] != y[q + n : q + n + more])
-            found.add((p, q, n + (int(differ[0]) if len(differ) else more)))
+        # along the diagonals at both ends a run may go on
+        back = min(a0, b0)
+        differ = np.flatnonzero(x[a0 - back : a0] != y[b0 - back : b0])
+        back = back - 1 - int(differ[-1]) if len(differ) else back
+        ahead = min(len(x) - a1, len(y) - b1)
+        differ = np.flatnonzero(x[a1 : a1 + ahead] != y[b1 : b1 + ahead])
+        ahead = int(differ[0]) if len(differ) else ahead
+        left, right = max(back, min(a0, least)), max(ahead, min(len(x) - a1, least))
+        left_b, right_b = max(back, min(b0, least)), max(ahead, min(len(y) - b1, least))
+        for p, q, n in identical_runs(x[a0 - left : a1 + right], y[b0 - left_b : b1 + right_b], least):
+            p, q = p + a0 - left, q + b0 - left_b
+            back = min(p, q)
+            differ = np.flatnonzero(x[p - back : p] != y[q - back : q])
+            back = back - 1 - int(differ[-1]) if len(differ) else back
+            ahead = min(len(x) - p - n, len(y) - q - n)
+            differ = np.flatnonzero(x[p + n : p + n + ahead] != y[q + n : q + n + ahead])
+            ahead = int(differ[0]) if len(differ) else ahead
+            found.add((p - back, q - back, n + back + ahead))
     return sorted(found)
 
 
-def classes_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, i): every record with the number of its text; copies have the same. Null texts have none."""
-    return docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc"), F.sha2(text_col, 256).alias("digest"), F.col(text_col).alias("text"))
-
-
 def shared_spans(docs: DataFrame, id_col: str, text_col: str, *, least: int = 400, k: int = SEED_K) -> tuple[DataFrame, DataFrame]:
     """Two tables: spans (i, j, pos_i, pos_j, length) between different texts, and members (doc, i) by text.
 
     ``i`` numbers the different texts that have at least ``least`` code points; no link between them is lost.
     Null, empty and shorter texts share nothing. Keys of ``docs`` should be unique; repeats count as one record.
-    ``k`` is the seed length, at most ``least``. Where a text repeats itself one match of each run is reported,
-    and every place covered by a shared run is in some span.
+    ``k`` is the seed length, at most ``least``. Where a text repeats itself not all matches of a run are reported,
+    but every place that a shared run covers is in some span.
     """
     long_enough = docs.where(F.length(text_col) >= least).select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.sha2(text_col, 256).alias("digest"))
     # the lowest record of each text stands for it, and its key is the text's number
@@ -206,18 +229,18 @@ def shared_spans(docs: DataFrame, id_col: str, text_col: str, *, least: int = 40
     found = seeds(texts, k, least - k + 1)
     shared = found.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("hash")
     linked = cut(found.join(shared, "hash", "left_semi"))
-    left = linked.select("hash", F.col("i"), F.col("pos").alias("pos_i"))
-    right = linked.select("hash", F.col("i").alias("j"), F.col("pos").alias("pos_j"))
+    left = linked.select("hash", F.col("i"), F.col("pos").alias("pos_i"), F.col("again").alias("again_i"))
+    right = linked.select("hash", F.col("i").alias("j"), F.col("pos").alias("pos_j"), F.col("again").alias("again_j"))
     matches = left.join(right, "hash").where(F.col("i") < F.col("j"))
-    pairs = matches.groupBy("i", "j").agg(F.collect_list("pos_i").alias("pi"), F.collect_list("pos_j").alias("pj"))
+    pairs = matches.groupBy("i", "j").agg(F.collect_list("pos_i").alias("pi"), F.collect_list("pos_j").alias("pj"), F.max(F.col("again_i") | F.col("again_j")).alias("whole"))
     with_text = pairs.join(texts.select("i", F.col("text").alias("ti")), "i").join(texts.select(F.col("i").alias("j"), F.col("text").alias("tj")), "j")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(i, j, *span) for i, j, ti, tj, pi, pj in zip(batch["i"], batch["j"], batch["ti"], batch["tj"], batch["pi"], batch["pj"]) for span in _aligned((ti, tj, pi, pj), k, least)]
+            rows = [(i, j, *span) for i, j, *pair in zip(*(batch[c] for c in ("i", "j", "ti", "tj", "pi", "pj", "whole"))) for span in _aligned(*pair, k, least)]
             yield pd.DataFrame(rows, columns=["i", "j", "pos_i", "pos_j", "length"]).astype("int64")
 
-    spans = with_text.select("i", "j", "ti", "tj", "pi", "pj").mapInPandas(run, "i bigint, j bigint, pos_i bigint, pos_j bigint, length bigint")
+    spans = with_text.select("i", "j", "ti", "tj", "pi", "pj", "whole").mapInPandas(run, "i bigint, j bigint, pos_i bigint, pos_j bigint, length bigint")
     return spans, members
 
 

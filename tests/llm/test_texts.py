@@ -53,6 +53,18 @@ def test_shared_spans_equal_brute_force(spark):
     assert part[40].n_copies == part[41].n_copies == 2 and part[40].class_id == part[41].class_id == 40 and part[40].share == 1.0
 
 
+def test_blocks_and_parts_of_long_texts_change_nothing(spark, monkeypatch):
+    text = corpus()[-1][1]
+    whole = spans._seeds_of_text(text, 280, 121)
+    monkeypatch.setattr(spans, "BLOCK", 700)
+    values, *_ = spans._seeds_of_text(text, 280, 121)
+    assert set(whole[0].tolist()) <= set(values.tolist()) and len(values) < 1.2 * len(whole[0])
+    df = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(3000)) + " " + ITEM + " end")], "doc_id bigint, text string")
+    monkeypatch.setattr(leaks, "SHARD_WORDS", 500)
+    got = {(r.word_from, r.word_to) for r in leaks.leaked_passages(df, spark.createDataFrame([(5, ITEM)], "item_id bigint, text string")).collect()}
+    assert got == {(3000, 3000 + len(ITEM.split()))}
+
+
 def test_no_documents(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert spans.sharing_pairs(df).count() == 0 and spans.shared_part(df).count() == 0
