@@ -22,10 +22,10 @@ from biblioscope.session import cut
 
 UNMATCHED = "UNMATCHED"
 #: Words that dress a name up without changing what it denotes.
-DRESSING = frozenset(
-    "the a an of patient patients expression mrna protein human gene genes nos disorder finding tablet tablets capsule capsules"
-    " hydrochloride sodium inn level levels disease diseases syndromes substance product procedure symptom drug".split()
-)
+DRESSING = frozenset("the patient patients expression mrna human gene genes nos disorder finding tablet tablets hydrochloride inn level levels".split())
+#: What a tag in brackets says of the kind of thing a name is.
+TAGS = ("disorder", "finding", "disease", "procedure", "symptom", "substance", "product", "human", "inn")
+TAG = re.compile(r"[\(\[]\s*([^\W\d_]+)\s*[\)\]]")
 #: Units that make the number before them a dose.
 UNITS = frozenset("mg g ml mcg".split())
 GREEK = {"α": "alpha", "β": "beta", "γ": "gamma", "δ": "delta", "κ": "kappa", "ε": "epsilon", "λ": "lambda", "ω": "omega", "μ": "mu", "σ": "sigma", "τ": "tau", "θ": "theta", "ζ": "zeta", "η": "eta"}
@@ -48,11 +48,17 @@ def bare(text: str) -> str:
     return "".join(c for c in text if not unicodedata.combining(c))
 
 
+def _untagged(tag: re.Match) -> str:
+    """Nothing for a tag that says what kind of thing is meant, however it is spelled; else what was there."""
+    word = tag[1].casefold()
+    return " " if any(word == t or (len(t) >= 7 and edits(word, t, 2) <= 2) for t in TAGS) else tag[0]
+
+
 def tokens_of(text: str) -> list[str]:
     """Tokens in order: letters and digits apart where a number ends a code; Roman numerals as numbers. Digits
     within a word, or one look-alike digit at the end of a long one, stay: they are misread letters."""
     out: list[str] = []
-    for piece in PIECE.findall(CAMEL.sub(" ", bare(text))):
+    for piece in PIECE.findall(CAMEL.sub(" ", TAG.sub(_untagged, bare(text)))):
         piece = piece.casefold()
         parts = PARTS.findall(piece)
         if len(parts) > 1 and not (parts[0].isalpha() and parts[-1].isalpha()) and not re.fullmatch(r"[^\W\d]{5,}[015]", piece):
