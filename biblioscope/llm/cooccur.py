@@ -121,7 +121,11 @@ def pairs_together(baskets: DataFrame, *, min_count: int = 6, min_lift: float =
     counts = baskets.groupBy("item").agg(F.count("*").alias("n"))
     numbered = _numbered(counts.where((F.col("n") >= min_count) & (F.col("n") * min_lift <= total)))
     n_items = numbered.count()
-    entries = cut(baskets.join(numbered.select("item", "i"), "item").select("record", F.col("i").alias("item")))
+    # Items in more than 1 / min_lift of the records leave first, so that no key of the join is hot. There are at
+    # most min_lift times as many of them as a record has items on average: a broadcast of proven size.
+    frequent = counts.where(F.col("n") * min_lift > total).select("item")
+    reached = baskets.join(F.broadcast(frequent), "item", "left_anti")
+    entries = cut(reached.join(numbered.select("item", "i"), "item").select("record", F.col("i").alias("item")))
     sized = entries.groupBy("record").agg(F.count("*").alias("k"))
     n_wide = sized.where(F.col("k") > wide).count()
     narrow = entries
