@@ -79,14 +79,15 @@ def all_claims(paragraphs: DataFrame) -> DataFrame:
 def dictionary_mentions(paragraphs: DataFrame, index: DataFrame, most_words: int = 5) -> DataFrame:
     """(paragraph_id, pos, n_words, entity_id): where the words of a dictionary's keys stand in paragraphs.
 
-    Keys and texts are cut to words in lower case; every run of up to ``most_words`` words is looked up by an
-    equi-join, so neither the dictionary nor the texts need to be small."""
+    Keys and texts are cut to words in lower case. Each word of a text goes out once, with the few words after
+    it, and meets the keys it begins by an equi-join; neither the dictionary nor the texts need to be small."""
     word = r"[\p{L}\p{N}\-]+"
     words = lambda c: F.regexp_extract_all(F.lower(c), F.lit(word), F.lit(0))
-    keys = index.select("entity_id", words(F.col("key")).alias("w")).where((F.size("w") > 0) & (F.size("w") <= most_words)).select("entity_id", F.array_join("w", " ").alias("run")).distinct()
-    at = paragraphs.select("paragraph_id", words(F.col("text")).alias("w")).select("paragraph_id", "w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("at")).where(F.size("w") > 0)
-    runs = F.transform(F.sequence(F.lit(1), F.least(F.lit(most_words), F.size("w") - F.col("at") + 1)), lambda n: F.struct(n.alias("n_words"), F.array_join(F.slice("w", F.col("at"), n), " ").alias("run")))
-    return at.select("paragraph_id", (F.col("at") - 1).alias("pos"), F.explode(runs).alias("r")).select("paragraph_id", "pos", "r.n_words", "r.run").join(keys, "run").select("paragraph_id", "pos", "n_words", "entity_id")
+    keys = index.select("entity_id", words(F.col("key")).alias("run")).where((F.size("run") > 0) & (F.size("run") <= most_words)).distinct().withColumn("first", F.get("run", F.lit(0)))
+    runs = F.transform(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.struct(i.alias("pos"), F.slice("w", i + 1, F.lit(most_words)).alias("next")))
+    at = paragraphs.select("paragraph_id", words(F.col("text")).alias("w")).where(F.size("w") > 0).select("paragraph_id", F.explode(runs).alias("r")).select("paragraph_id", "r.pos", "r.next", F.get("r.next", F.lit(0)).alias("first"))
+    met = at.join(keys, "first").where(F.slice("next", F.lit(1), F.size("run")) == F.col("run"))
+    return met.select("paragraph_id", "pos", F.size("run").alias("n_words"), "entity_id")
 
 
 def paired_claims(claim_rows: DataFrame, mentions: DataFrame) -> DataFrame:
