@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from biblioscope.functions import text as T
 from biblioscope.operators import rules
 from biblioscope.operators import similarity as S
 from biblioscope.plans import graph
@@ -54,6 +55,14 @@ def _changes(s, d):
     return rules.upsert(e.where(half), e.where(~half), ["id"], "seq").select("id", F.col("seq.extracted_at").alias("extracted_at"))
 
 
+def _semantic_search(s, d):
+    """Triples of papers nearest to a text: both sides are embedded by the digest of the text."""
+    triples = graph.paper_relationships(s, d).select(F.concat_ws(":", "paper_id", "pos").alias("id"), F.concat_ws(" ", "subject_id", "predicate", "object_id").alias("t"))
+    vectors = triples.groupBy("id").agg(F.max("t").alias("t")).select("id", T.hash_vector(F.col("t")).alias("embedding"))
+    asked = s.range(1).select(T.hash_vector(F.lit("olaparib treats breast cancer")).alias("v")).first()["v"]
+    return S.nearest(vectors, asked, 10, 0.7).withColumn("similarity", F.round("similarity", 6))
+
+
 QUERIES = {
     "v1_faults": lambda s, d: rules.checked_relationships(graph.paper_relationships(s, d)).select("paper_id", "pos", F.array_join("faults", ",").alias("faults")),
     "v2_without_provenance": lambda s, d: graph.relationships(s, d).where((F.size("source_papers") == 0) & (F.col("evidence_count") == 0)).select(*TRIPLE),
@@ -67,6 +76,7 @@ QUERIES = {
     "x1_nearest_to_vector": lambda s, d: S.nearest(_vectors(s, d), [1.0] * 64, 10, 0.0).withColumn("similarity", F.round("similarity", 6)),
     "x2_similar_entities": lambda s, d: S.nearest_to(_entity_vectors(s, d), _first(s, d, "entity_embeddings", "entity_id"), 5).withColumn("similarity", F.round("similarity", 6)),
     "x3_similar_paragraphs": _similar_paragraphs,
+    "x5_semantic_search": _semantic_search,
     "x6_nearest_of_label": lambda s, d: S.nearest_to(_vectors(s, d).join(table(s, d, "embeddings").where("label = 3").select(F.col("vec_id").alias("id")), "id", "left_semi").unionByName(_vectors(s, d).where("id = 0")).distinct(), 0, 10).withColumn("similarity", F.round("similarity", 6)),
     "x8_hybrid": _hybrid,
     "x9_last_vectors": lambda s, d: rules.upsert(*[table(s, d, "entity_embeddings").select("entity_id", "model_name", "updated_at", F.struct("updated_at", F.coalesce("model_name", F.lit(""))).alias("seq")).where(c) for c in ("model_name IS NULL", "model_name IS NOT NULL")], ["entity_id"], "seq").select("entity_id", "model_name", "updated_at"),
@@ -76,6 +86,7 @@ _ALLOWED = "CASE " + " ".join(f"WHEN a.type IN ({', '.join(repr(x) for x in r[0]
 _GOOD = "embedding IS NOT NULL AND len(embedding) = 64"
 _ASKED = "{k} IS NOT NULL AND " + _GOOD + " AND list_max([abs(x) for x in embedding]) > 0 AND NOT list_bool_or([isnan(x) for x in embedding])"
 _COS = "list_cosine_similarity(v.embedding::DOUBLE[], q.embedding::DOUBLE[])"
+_BYTES = "[('0x' || sha256(lower({}))[2 * i + 1:2 * i + 2])::INT / 255.0::DOUBLE for i in range(32)]"
 _IS_BAD = "confidence IS NULL OR isnan(confidence) OR confidence < 0 OR confidence > 1"
 
 
@@ -97,6 +108,7 @@ SQL = {
     "x1_nearest_to_vector": "SELECT vec_id AS id, round(s, 6) AS similarity FROM (SELECT vec_id, list_cosine_similarity(embedding::DOUBLE[], [1.0::DOUBLE for i in range(64)]) AS s FROM embeddings) WHERE s >= 0 ORDER BY s DESC, vec_id LIMIT 10",
     "x2_similar_entities": _near("entity_embeddings", "entity_id") + " SELECT id, round(similarity, 6) AS similarity FROM top",
     "x3_similar_paragraphs": _near("paragraph_embeddings", "paragraph_id") + " SELECT top.id, round(similarity, 6) AS similarity, CASE WHEN length(text) > 100 THEN text[1:100] || '...' ELSE text END AS preview FROM top JOIN documents d ON d.paragraph_id = top.id",
+    "x5_semantic_search": with_views("paper_rels_v", sql=f", t AS (SELECT concat_ws(':', paper_id, pos) AS id, max(concat_ws(' ', subject_id, predicate, object_id)) AS t FROM paper_rels_v GROUP BY 1), v AS (SELECT id, {_BYTES.format('t')} AS embedding FROM t), q AS (SELECT {_BYTES.format(chr(39) + 'olaparib treats breast cancer' + chr(39))} AS embedding) SELECT id, round({_COS}, 6) AS similarity FROM v, q WHERE {_COS} >= 0.7 ORDER BY {_COS} DESC, id LIMIT 10"),
     "x6_nearest_of_label": f"SELECT v.vec_id AS id, round({_COS}, 6) AS similarity FROM embeddings v, (SELECT embedding FROM embeddings WHERE vec_id = 0) q WHERE v.label = 3 AND v.vec_id <> 0 ORDER BY {_COS} DESC, v.vec_id LIMIT 10",
     "x8_hybrid": f"WITH n AS (SELECT v.vec_id AS id, v.label, {_COS} AS s FROM embeddings v, (SELECT embedding FROM embeddings WHERE vec_id = 3) q WHERE v.vec_id <> 3 ORDER BY s DESC, v.vec_id LIMIT 50) SELECT id, label, (SELECT count(*) FROM embeddings e WHERE e.label = n.label) AS n, round(s, 6) AS similarity FROM n",
     "x9_last_vectors": "SELECT entity_id, model_name, updated_at FROM (SELECT DISTINCT entity_id, model_name, updated_at FROM entity_embeddings) QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY updated_at DESC, coalesce(model_name, '') DESC) = 1",

@@ -41,6 +41,7 @@ QUERIES = {
     "j13_name_lookup": lambda s, d: joins.name_lookup(table(s, d, "entities").where("name IS NOT NULL").select("name").distinct(), lookup.synonym_index(table(s, d, "reference_entities"))),
     "j16_contradictions": lambda s, d: joins.contradictions(graph.relationships(s, d), "treats", "contraindicated_for"),
     "j17_audit": _audit,
+    "j18_mechanism_paths": lambda s, d: joins.reachable(graph.relationships(s, d), "DRUG:4", 2).select(F.array_join("path", ">").alias("path"), "end", F.col("hops").cast("long").alias("hops")),
     "j18_repurposing": lambda s, d: joins.repurposing(graph.relationships(s, d)),
     "c12_first_mentions": lambda s, d: first_mentions(graph.edge_mentions(s, d).where("surface IS NOT NULL").groupBy("paper_id", F.col("surface").alias("name")).agg(F.min("entity_id").alias("entity_id")).withColumn("pos", F.col("name"))).select("paper_id", "name", "entity_id"),
 }
@@ -82,6 +83,9 @@ SELECT array_to_string(path, '>') AS path, last AS "end", hops FROM walk WHERE h
     "j13_name_lookup": "WITH x AS (SELECT lower(name) AS key, entity_id FROM reference_entities UNION ALL SELECT lower(unnest(synonyms)), entity_id FROM reference_entities UNION ALL SELECT lower(unnest(abbreviations)), entity_id FROM reference_entities), one AS (SELECT key, max(entity_id) AS entity_id FROM x GROUP BY 1) SELECT n.name, one.entity_id FROM (SELECT DISTINCT name FROM entities WHERE name IS NOT NULL) n LEFT JOIN one ON lower(n.name) = one.key",
     "j16_contradictions": with_views("relationships_v", sql="SELECT a.subject_id, a.object_id, a.evidence_count AS n_for, b.evidence_count AS n_against, a.confidence AS confidence_for, b.confidence AS confidence_against FROM relationships_v a JOIN relationships_v b ON a.subject_id = b.subject_id AND a.object_id = b.object_id WHERE a.predicate = 'treats' AND b.predicate = 'contraindicated_for'"),
     "j17_audit": with_views("paper_rels_v", sql="SELECT r.*, e.n_edges, e.best_edge FROM (SELECT DISTINCT paper_id, subject_id, predicate, object_id FROM paper_rels_v) r JOIN (SELECT provenance.source_id AS paper_id, count(DISTINCT id) AS n_edges, max(CASE WHEN NOT isnan(confidence) AND confidence BETWEEN 0 AND 1 THEN confidence END) AS best_edge FROM extraction_edges GROUP BY 1) e USING (paper_id)"),
+    "j18_mechanism_paths": with_views("relationships_v", sql="""
+, e AS (SELECT DISTINCT subject_id, object_id FROM relationships_v WHERE predicate IS NOT NULL), one AS (SELECT object_id AS last FROM e WHERE subject_id = 'DRUG:4' AND object_id <> 'DRUG:4')
+SELECT 'DRUG:4>' || last AS path, last AS "end", 1::BIGINT AS hops FROM one UNION ALL SELECT 'DRUG:4>' || one.last || '>' || e.object_id, e.object_id, 2::BIGINT FROM one JOIN e ON e.subject_id = one.last WHERE e.object_id NOT IN ('DRUG:4', one.last)"""),
     "j18_repurposing": with_views("relationships_v", sql="SELECT l.subject_id AS drug, l.object_id AS disease, t.shared FROM relationships_v l JOIN (SELECT object_id AS drug, count(DISTINCT subject_id) AS shared FROM relationships_v WHERE predicate = 'binds_to' GROUP BY 1) t ON t.drug = l.subject_id WHERE l.predicate = 'associated_with' AND NOT EXISTS (SELECT 1 FROM relationships_v x WHERE x.predicate = 'treats' AND x.subject_id = l.subject_id AND x.object_id = l.object_id)"),
     "c12_first_mentions": with_views("edge_mentions_v", sql="SELECT paper_id, name, entity_id FROM (SELECT paper_id, surface AS name, min(entity_id) AS entity_id FROM edge_mentions_v WHERE surface IS NOT NULL GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY paper_id, lower(name) ORDER BY name) = 1"),
 }

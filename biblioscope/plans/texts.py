@@ -58,6 +58,7 @@ QUERIES = {
     "c7_p_values": lambda s, d: _paragraphs(s, d).where("lang = 'en'").select("paragraph_id", T.p_value(F.col("text")).alias("p")).where("p IS NOT NULL"),
     "c8_strengths": lambda s, d: graph.assertions(s, d).select("paper_id", "subject_id", "sample_size", "p_value", F.round(T.evidence_strength(F.col("sample_size"), F.col("p_value")), 6).alias("strength")),
     "c9_evidence": lambda s, d: X.evidence(_paragraphs(s, d).where("lang = 'en'")),
+    "c10_relationship_evidence": lambda s, d: X.evidence(graph.paper_relationships(s, d).where("evidence IS NOT NULL").select(F.concat_ws(":", "paper_id", "pos").alias("paragraph_id"), "paper_id", "section", F.col("evidence").alias("text")).distinct()),
     "c11_clean_mentions": lambda s, d: X.clean_mentions(_edge_names(s, d)).select("paper_id", "name", "confidence"),
     "c13_contexts": lambda s, d: _paragraphs(s, d).select("paragraph_id", F.instr("text", "disease").alias("at"), "text").where("at > 0").select("paragraph_id", X.context(F.col("text"), F.col("at") - 1, F.col("at") + 6).alias("context")),
     "c14_listed_mentions": lambda s, d: table(s, d, "papers").select("paper_id", F.posexplode("entities").alias("pos", "e")).select("paper_id", F.col("pos").cast("long").alias("pos"), F.col("e.name").alias("name"), F.lower("e.type").alias("type"), F.col("e.id").alias("hint"), F.lit(0.9).alias("confidence")),
@@ -114,6 +115,7 @@ SELECT 'PLACEHOLDER_SUBJECT_' || paragraph_id || '_claim_' || k AS subject_id, p
     "c7_p_values": with_views("paragraphs_v", sql=f"SELECT * FROM (SELECT paragraph_id, {_P} AS p FROM paragraphs_v {_EN}) WHERE p IS NOT NULL"),
     "c8_strengths": with_views("assertions_v", sql=f"SELECT paper_id, subject_id, sample_size, p_value, round({_strength('sample_size', 'p_value')}, 6) AS strength FROM assertions_v"),
     "c9_evidence": with_views("paragraphs_v", sql=f", r AS (SELECT *, {_N} AS n, {_P} AS p, {_R} AS rate FROM paragraphs_v {_EN}) SELECT paragraph_id, paper_id, coalesce(section, 'results') AS section, n AS sample_size, p AS p_value, round({_strength('n', 'p')}, 6) AS confidence, substring(text, 1, 500) AS text_span FROM r WHERE coalesce(n <> 0, false) OR coalesce(p <> 0, false) OR coalesce(rate <> 0, false)"),
+    "c10_relationship_evidence": with_views("paper_rels_v", sql=f", paragraphs_r AS (SELECT DISTINCT concat_ws(':', paper_id, pos) AS paragraph_id, paper_id, section, evidence AS text FROM paper_rels_v WHERE evidence IS NOT NULL), r AS (SELECT *, {_N} AS n, {_P} AS p, {_R} AS rate FROM paragraphs_r) SELECT paragraph_id, paper_id, coalesce(section, 'results') AS section, n AS sample_size, p AS p_value, round({_strength('n', 'p')}, 6) AS confidence, substring(text, 1, 500) AS text_span FROM r WHERE coalesce(n <> 0, false) OR coalesce(p <> 0, false) OR coalesce(rate <> 0, false)"),
     "c11_clean_mentions": f"SELECT paper_id, n AS name, confidence FROM (SELECT *, regexp_replace(name, '^\\s+|\\s+$', '', 'g') AS n FROM ({_NAMES})) WHERE length(n) >= 3 AND NOT starts_with(n, '##') AND lower(n) NOT IN ({_STOP}) AND confidence >= 0.85::DOUBLE",
     "c13_contexts": with_views("paragraphs_v", sql="SELECT paragraph_id, substring(text, greatest(p - 51, 0) + 1, p + 56 - greatest(p - 51, 0)) AS context FROM (SELECT paragraph_id, text, instr(text, 'disease') AS p FROM paragraphs_v) WHERE p > 0"),
     "c14_listed_mentions": "SELECT paper_id, pos, e.name AS name, lower(e.type) AS type, e.id AS hint, 0.9::DOUBLE AS confidence FROM (SELECT paper_id, unnest(range(len(entities))) AS pos, unnest(entities) AS e FROM papers)",
