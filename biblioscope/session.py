@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import zipfile
 from pathlib import Path
@@ -10,10 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Give the package to the executors once, where Python workers cannot import it by themselves."""
+    """Give the package to the executors once, where Python workers cannot import it by themselves.
+
+    Nothing is done where PYTHONPATH names its folder. The archive is served by the driver, not read from a folder."""
     sc = spark.sparkContext
+    home = Path(__file__).resolve().parent
+    if str(home.parent) in (os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p):
+        return spark
     if getattr(sc, "_biblioscope_shipped", None) != sc.applicationId:
-        home = Path(__file__).resolve().parent
         archive = Path(tempfile.mkdtemp(prefix="biblioscope-code-")) / f"{home.name}.zip"
         with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
             for f in sorted(home.rglob("*.py")):
