@@ -45,24 +45,24 @@ def _chunks(s, d):
 
 
 def _claims(s, d):
-    return X.claims(_paragraphs(s, d).where("lang = 'en'")).select("subject_id", "predicate", F.round("confidence", 6).alias("confidence"), "paper_id", "section", "text_span")
+    return X.claims(_paragraphs(s, d)).select("subject_id", "predicate", F.round("confidence", 6).alias("confidence"), "paper_id", "section", "text_span")
 
 
 QUERIES = {
     "c1_claims": _claims,
-    "c1_claims_as_read": lambda s, d: X.claims(_paragraphs(s, d).where("lang = 'en'"), as_read=True).groupBy("predicate").agg(F.count("*").alias("n")),
+    "c1_claims_as_read": lambda s, d: X.claims(_paragraphs(s, d), as_read=True).groupBy("predicate").agg(F.count("*").alias("n")),
     "c1_sentences": lambda s, d: X.sentence_rows(_paragraphs(s, d)).select("paragraph_id", F.col("no").cast("long").alias("no"), "sentence"),
-    "c4_all_claims": lambda s, d: X.all_claims(_paragraphs(s, d).where("lang = 'en'")).select("paragraph_id", F.col("no").cast("long").alias("no"), "predicate"),
-    "c5_sample_sizes": lambda s, d: _paragraphs(s, d).where("lang = 'en'").select("paragraph_id", T.sample_size(F.col("text")).alias("n")).where("n IS NOT NULL"),
-    "c6_rates": lambda s, d: _paragraphs(s, d).where("lang = 'en'").select("paragraph_id", F.round(T.percentage(F.col("text")), 6).alias("rate")).where("rate IS NOT NULL"),
-    "c7_p_values": lambda s, d: _paragraphs(s, d).where("lang = 'en'").select("paragraph_id", T.p_value(F.col("text")).alias("p")).where("p IS NOT NULL"),
+    "c4_all_claims": lambda s, d: X.all_claims(_paragraphs(s, d)).select("paragraph_id", F.col("no").cast("long").alias("no"), "predicate"),
+    "c5_sample_sizes": lambda s, d: _paragraphs(s, d).select("paragraph_id", T.sample_size(F.col("text")).alias("n")).where("n IS NOT NULL"),
+    "c6_rates": lambda s, d: _paragraphs(s, d).select("paragraph_id", F.round(T.percentage(F.col("text")), 6).alias("rate")).where("rate IS NOT NULL"),
+    "c7_p_values": lambda s, d: _paragraphs(s, d).select("paragraph_id", T.p_value(F.col("text")).alias("p")).where("p IS NOT NULL"),
     "c8_strengths": lambda s, d: graph.assertions(s, d).select("paper_id", "subject_id", "sample_size", "p_value", F.round(T.evidence_strength(F.col("sample_size"), F.col("p_value")), 6).alias("strength")),
-    "c9_evidence": lambda s, d: X.evidence(_paragraphs(s, d).where("lang = 'en'")),
+    "c9_evidence": lambda s, d: X.evidence(_paragraphs(s, d)),
     "c10_relationship_evidence": lambda s, d: X.evidence(graph.paper_relationships(s, d).where("evidence IS NOT NULL").select(F.concat_ws(":", "paper_id", "pos").alias("paragraph_id"), "paper_id", "section", F.col("evidence").alias("text")).distinct()),
     "c11_clean_mentions": lambda s, d: X.clean_mentions(_edge_names(s, d)).select("paper_id", "name", "confidence"),
     "c13_contexts": lambda s, d: _paragraphs(s, d).select("paragraph_id", F.instr("text", "disease").alias("at"), "text").where("at > 0").select("paragraph_id", X.context(F.col("text"), F.col("at") - 1, F.col("at") + 6).alias("context")),
     "c14_listed_mentions": lambda s, d: table(s, d, "papers").select("paper_id", F.posexplode("entities").alias("pos", "e")).select("paper_id", F.col("pos").cast("long").alias("pos"), F.col("e.name").alias("name"), F.lower("e.type").alias("type"), F.col("e.id").alias("hint"), F.lit(0.9).alias("confidence")),
-    "j14_paired_claims": lambda s, d: X.paired_claims(X.all_claims(_paragraphs(s, d).where("lang = 'en'")), _named(s, d)).select("paragraph_id", F.col("no").cast("long").alias("no"), "predicate", "subject_id", "object_id"),
+    "j14_paired_claims": lambda s, d: X.paired_claims(X.all_claims(_paragraphs(s, d)), _named(s, d)).select("paragraph_id", F.col("no").cast("long").alias("no"), "predicate", "subject_id", "object_id"),
     "k1_packed_chunks": _chunks,
     "k2_slices": lambda s, d: _paragraphs(s, d).select("paragraph_id", F.posexplode(X.slices(F.col("text"), 512)).alias("no", "slice")).select("paragraph_id", F.col("no").cast("long").alias("no"), "slice"),
     "e1_dictionary_mentions": lambda s, d: _dictionary(s, d).select("paragraph_id", F.col("pos").cast("long").alias("pos"), F.col("n_words").cast("long").alias("n_words"), "entity_id"),

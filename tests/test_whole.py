@@ -1,12 +1,14 @@
 """Queries over whole tables, against loops in plain Python: nothing of the input may be left out."""
 
 import os
+import re
 from collections import Counter, defaultdict
 
 import pyarrow.parquet as pq
 import pytest
 
 import __spark_entry__ as entry
+from biblioscope.operators.extraction import CLAIM_PATTERNS
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data here")
@@ -26,3 +28,66 @@ def test_two_hops_start_at_every_gene(spark):
     want = Counter((f"GENE:{s}", f"DRUG:{p}", f"DISEASE:{c}") for s, p in binds for c in treats[p])
     got = Counter(tuple(r) for r in entry.queries()["j8_two_hops"](spark, DATA).select("start", "middle", "end").collect())
     assert got == want and len({s for s, _, _ in got}) > 2
+
+
+VALUE = r"\s*[<>=]\s*(0?\.\d+|[01](?:\.\d+)?)"
+
+
+def texts():
+    return [r for r in rows("documents", "paragraph_id", "lang", "text") if r[2] is not None]
+
+
+def first(text, *tries):
+    for pattern, number in tries:
+        m = re.search(pattern, text)
+        if m and (x := number(m)) is not None:
+            return x
+
+
+def size(t):
+    return first(t, (r"(?i)\bn\s*=\s*(\d+)", lambda m: int(m[1])), (r"(?i)\b(\d+)\s+(?:samples|patients|subjects|nodes|lymph nodes|individuals|cases)", lambda m: int(m[1])))
+
+
+def rate(t):
+    return first(t, (r"(\d+(?:\.\d+)?)\s*%", lambda m: float(m[1]) / 100), (r"(\d+)\s*(?:/|of)\s*(\d+)", lambda m: int(m[1]) / int(m[2]) if int(m[2]) else None))
+
+
+def p_value(t):
+    return first(t, (r"(?i)\bp" + VALUE, lambda m: float(m[1])), (r"(?i)p\s*-\s*value" + VALUE, lambda m: float(m[1])))
+
+
+def stated():
+    """(paragraph_id, no, sentence, predicates) of the sentences that state any."""
+    out = []
+    for key, _, text in texts():
+        for no, sentence in enumerate(x.strip() for x in re.split(r"[.!?]+", text)):
+            found = [p for p, patterns in CLAIM_PATTERNS.items() if any(re.search("(?i)" + x, sentence) for x in patterns)]
+            if len(sentence) >= 20 and found:
+                out.append((key, no, sentence, found))
+    return out
+
+
+@pytest.mark.parametrize("name, column, read", [("c5_sample_sizes", "n", size), ("c6_rates", "rate", rate), ("c7_p_values", "p", p_value)])
+def test_numbers_are_read_in_every_language(spark, name, column, read):
+    want = sorted((key, x) for key, _, text in texts() if (x := read(text)) is not None)
+    got = sorted((r["paragraph_id"], r[column]) for r in entry.queries()[name](spark, DATA).collect())
+    assert [k for k, _ in got] == [k for k, _ in want] and [x for _, x in got] == pytest.approx([x for _, x in want], abs=1e-6)
+    assert {k for k, _ in got} & {key for key, lang, _ in texts() if lang != "en"}
+
+
+def test_evidence_of_every_language(spark):
+    want = sorted((key, size(t), p_value(t)) for key, _, t in texts() if size(t) or rate(t) or p_value(t))
+    got = sorted((r.paragraph_id, r.sample_size, r.p_value) for r in entry.queries()["c9_evidence"](spark, DATA).collect())
+    assert [tuple(map(str, x)) for x in got] == [tuple(map(str, x)) for x in want]
+
+
+def test_claims_of_every_language(spark):
+    queries, want = entry.queries(), stated()
+    assert Counter(tuple(r) for r in queries["c4_all_claims"](spark, DATA).select("paragraph_id", "no", "predicate").collect()) == Counter((k, no, p) for k, no, _, ps in want for p in ps)
+    assert Counter((r.text_span, r.predicate) for r in queries["c1_claims"](spark, DATA).collect()) == Counter((s, ps[0]) for _, _, s, ps in want)
+    last, as_read = {}, Counter()
+    for key, _, sentence, found in want:
+        if found[0] == "causes" or last.get(key) != sentence:
+            as_read[found[0]] += 1
+            last[key] = sentence
+    assert {r.predicate: r.n for r in queries["c1_claims_as_read"](spark, DATA).collect()} == as_read
