@@ -76,14 +76,16 @@ def all_claims(paragraphs: DataFrame) -> DataFrame:
     return rows.select("paragraph_id", "paper_id", "section", "no", "sentence", F.explode(stated).alias("predicate"))
 
 
-def dictionary_mentions(paragraphs: DataFrame, index: DataFrame, most_words: int = 5) -> DataFrame:
+def dictionary_mentions(paragraphs: DataFrame, index: DataFrame) -> DataFrame:
     """(paragraph_id, pos, n_words, entity_id): where the words of a dictionary's keys stand in paragraphs.
 
-    Keys and texts are cut to words in lower case. Each word of a text goes out once, with the few words after
-    it, and meets the keys it begins by an equi-join; neither the dictionary nor the texts need to be small."""
+    Keys and texts are cut to words in lower case. Each word of a text goes out once, with as many words after
+    it as the longest key has, and meets the keys it begins by an equi-join; neither the dictionary nor the texts
+    need to be small. The longest key is looked up when the plan is built."""
     word = r"[\p{L}\p{N}\-]+"
     words = lambda c: F.regexp_extract_all(F.lower(c), F.lit(word), F.lit(0))
-    keys = index.select("entity_id", words(F.col("key")).alias("run")).where((F.size("run") > 0) & (F.size("run") <= most_words)).distinct().withColumn("first", F.get("run", F.lit(0)))
+    keys = index.select("entity_id", words(F.col("key")).alias("run")).where(F.size("run") > 0).distinct().withColumn("first", F.get("run", F.lit(0)))
+    most_words = index.agg(F.max(F.size(words(F.col("key")))).alias("n")).first()["n"] or 1
     runs = F.transform(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.struct(i.alias("pos"), F.slice("w", i + 1, F.lit(most_words)).alias("next")))
     at = paragraphs.select("paragraph_id", words(F.col("text")).alias("w")).where(F.size("w") > 0).select("paragraph_id", F.explode(runs).alias("r")).select("paragraph_id", "r.pos", "r.next", F.get("r.next", F.lit(0)).alias("first"))
     met = at.join(keys, "first").where(F.slice("next", F.lit(1), F.size("run")) == F.col("run"))
@@ -91,9 +93,10 @@ def dictionary_mentions(paragraphs: DataFrame, index: DataFrame, most_words: int
 
 
 def paired_claims(claim_rows: DataFrame, mentions: DataFrame) -> DataFrame:
-    """Claims with two different entities of their paragraph: the first two whose name stands in the sentence.
+    """Claims with two different entities of their paragraph: the first two of which a name stands in the sentence.
 
-    Names meet sentences by paragraph, not by a search of every name in every sentence."""
+    An entity has one row for each of its names and synonyms. Names meet sentences by paragraph, not by a search
+    of every name in every sentence."""
     met = claim_rows.join(mentions.select("paragraph_id", "entity_id", "name", "pos"), "paragraph_id").where(F.contains(F.lower("sentence"), F.lower("name")))
     ends = met.groupBy("paragraph_id", "no", "predicate", "sentence").agg(F.array_sort(F.collect_set(F.struct("pos", "entity_id"))).alias("m"))
     return ends.where(F.size("m") > 1).select("paragraph_id", "no", "predicate", F.get("m", F.lit(0))["entity_id"].alias("subject_id"), F.get("m", F.lit(1))["entity_id"].alias("object_id"))

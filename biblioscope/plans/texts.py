@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from biblioscope.functions import text as T
 from biblioscope.operators import extraction as X
+from biblioscope.operators import lookup
 from biblioscope.plans import graph
 from biblioscope.plans.graph import with_views
 from biblioscope.session import table
@@ -28,13 +29,15 @@ def _edge_forms(s, d):
 
 
 def _dictionary(s, d):
-    return X.dictionary_mentions(_paragraphs(s, d), table(s, d, "reference_entities").select(F.col("name").alias("key"), "entity_id"))
+    """Where names, synonyms and abbreviations of reference entities stand in paragraphs."""
+    return X.dictionary_mentions(_paragraphs(s, d), lookup.synonym_index(table(s, d, "reference_entities")))
 
 
 def _named(s, d):
-    """The reference entities a paragraph names, in order of their ids."""
+    """The reference entities a paragraph names, with each of their keys, in order of their ids."""
     found = _dictionary(s, d).select("paragraph_id", "entity_id").distinct()
-    return found.join(table(s, d, "reference_entities").select("entity_id", "name"), "entity_id").select("paragraph_id", "entity_id", "name", F.col("entity_id").alias("pos"))
+    keys = lookup.synonym_index(table(s, d, "reference_entities")).where(F.col("key").rlike(r"[\p{L}\p{N}\-]")).select("entity_id", F.col("key").alias("name")).distinct()
+    return found.join(keys, "entity_id").select("paragraph_id", "entity_id", "name", F.col("entity_id").alias("pos"))
 
 
 def _chunks(s, d):

@@ -8,7 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 
 import __spark_entry__ as entry
-from biblioscope.operators.extraction import CLAIM_PATTERNS
+from biblioscope.operators.extraction import CLAIM_PATTERNS, dictionary_mentions
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data here")
@@ -91,3 +91,55 @@ def test_claims_of_every_language(spark):
             as_read[found[0]] += 1
             last[key] = sentence
     assert {r.predicate: r.n for r in queries["c1_claims_as_read"](spark, DATA).collect()} == as_read
+
+
+def words(text):
+    return re.findall(r"(?:[^\W_]|-)+", text.lower())
+
+
+def dictionary():
+    """The keys of each reference entity in lower case: name, synonyms and abbreviations."""
+    keys = defaultdict(set)
+    for entity, name, synonyms, short in rows("reference_entities", "entity_id", "name", "synonyms", "abbreviations"):
+        keys[entity] |= {k.lower() for k in (name, *(synonyms or ()), *(short or ())) if k and words(k)}
+    return keys
+
+
+def mentioned():
+    """(paragraph_id, pos, n_words, entity_id) of every run of words that is a key."""
+    runs = defaultdict(set)
+    for entity, keys in dictionary().items():
+        for k in keys:
+            runs[tuple(words(k))].add(entity)
+    out, most = Counter(), max(map(len, runs))
+    for key, _, text in texts():
+        w = words(text)
+        for i in range(len(w)):
+            for n in range(1, min(most, len(w) - i) + 1):
+                for entity in runs.get(tuple(w[i : i + n]), ()):
+                    out[key, i, n, entity] += 1
+    return out
+
+
+def test_mentions_by_synonym(spark):
+    got = Counter(tuple(r) for r in entry.queries()["e1_dictionary_mentions"](spark, DATA).select("paragraph_id", "pos", "n_words", "entity_id").collect())
+    assert got == mentioned()
+
+
+def test_pairs_by_synonym(spark):
+    keys, named = dictionary(), defaultdict(set)
+    for key, _, _, entity in mentioned():
+        named[key].add(entity)
+    want = Counter()
+    for key, no, sentence, found in stated():
+        ids = sorted(e for e in named[key] if any(k in sentence.lower() for k in keys[e]))
+        if len(ids) > 1:
+            want.update((key, no, p, *ids[:2]) for p in found)
+    got = Counter(tuple(r) for r in entry.queries()["j14_paired_claims"](spark, DATA).select("paragraph_id", "no", "predicate", "subject_id", "object_id").collect())
+    assert got == want and want
+
+
+def test_long_keys_are_found(spark):
+    text = spark.createDataFrame([("p0", "It is acute left lower lobe type two renal sarcoma, they say.")], "paragraph_id string, text string")
+    index = spark.createDataFrame([("acute left lower lobe type two renal sarcoma", "C1"), ("sarcoma", "C2"), ("acute left", "C3")], "key string, entity_id string")
+    assert {(r.pos, r.n_words, r.entity_id) for r in dictionary_mentions(text, index).collect()} == {(2, 8, "C1"), (9, 1, "C2"), (2, 2, "C3")}
