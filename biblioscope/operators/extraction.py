@@ -125,6 +125,18 @@ def first_mentions(mentions: DataFrame) -> DataFrame:
     return mentions.withColumn("_n", first).where("_n = 1").drop("_n")
 
 
+def places(text: Column, word: str) -> Column:
+    """Where a word begins in a text, each time it stands there; counted from 0."""
+    parts = F.split(text, rf"\Q{word}\E", -1)
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("found"))
+
+    def step(acc: Column, part: Column) -> Column:
+        at = acc["at"] + F.length(part)
+        return F.struct((at + len(word)).alias("at"), F.concat(acc["found"], F.array(at)).alias("found"))
+
+    return F.aggregate(F.slice(parts, 1, F.size(parts) - 1), start, step)["found"]
+
+
 def context(text: Column, start: Column, end: Column, width: int = 50) -> Column:
     """The characters around a mention; start counts from 0, end is exclusive."""
     left = F.greatest(start - width, F.lit(0))

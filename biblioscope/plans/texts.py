@@ -63,7 +63,7 @@ QUERIES = {
     "c9_evidence": lambda s, d: X.evidence(_paragraphs(s, d)),
     "c10_relationship_evidence": lambda s, d: X.evidence(graph.paper_relationships(s, d).where("evidence IS NOT NULL").select(F.concat_ws(":", "paper_id", "pos").alias("paragraph_id"), "paper_id", "section", F.col("evidence").alias("text")).distinct()),
     "c11_clean_mentions": lambda s, d: X.clean_mentions(_edge_names(s, d)).select("paper_id", "name", "confidence"),
-    "c13_contexts": lambda s, d: _paragraphs(s, d).select("paragraph_id", F.instr("text", "disease").alias("at"), "text").where("at > 0").select("paragraph_id", X.context(F.col("text"), F.col("at") - 1, F.col("at") + 6).alias("context")),
+    "c13_contexts": lambda s, d: _paragraphs(s, d).select("paragraph_id", F.explode(X.places(F.col("text"), "disease")).alias("at"), "text").select("paragraph_id", X.context(F.col("text"), F.col("at"), F.col("at") + 7).alias("context")),
     "c14_listed_mentions": lambda s, d: table(s, d, "papers").select("paper_id", F.posexplode("entities").alias("pos", "e")).select("paper_id", F.col("pos").cast("long").alias("pos"), F.col("e.name").alias("name"), F.lower("e.type").alias("type"), F.col("e.id").alias("hint"), F.lit(0.9).alias("confidence")),
     "j14_paired_claims": lambda s, d: X.paired_claims(X.all_claims(_paragraphs(s, d)), _named(s, d)).select("paragraph_id", F.col("no").cast("long").alias("no"), "predicate", "subject_id", "object_id"),
     "k1_packed_chunks": _chunks,

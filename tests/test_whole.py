@@ -6,9 +6,10 @@ from collections import Counter, defaultdict
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from biblioscope.operators.extraction import CLAIM_PATTERNS, dictionary_mentions
+from biblioscope.operators.extraction import CLAIM_PATTERNS, dictionary_mentions, places
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data here")
@@ -143,3 +144,14 @@ def test_long_keys_are_found(spark):
     text = spark.createDataFrame([("p0", "It is acute left lower lobe type two renal sarcoma, they say.")], "paragraph_id string, text string")
     index = spark.createDataFrame([("acute left lower lobe type two renal sarcoma", "C1"), ("sarcoma", "C2"), ("acute left", "C3")], "key string, entity_id string")
     assert {(r.pos, r.n_words, r.entity_id) for r in dictionary_mentions(text, index).collect()} == {(2, 8, "C1"), (9, 1, "C2"), (2, 2, "C3")}
+
+
+def test_contexts_of_every_mention(spark):
+    want = Counter((key, t[max(m.start() - 50, 0) : m.end() + 50]) for key, _, t in texts() for m in re.finditer("disease", t))
+    got = Counter(tuple(r) for r in entry.queries()["c13_contexts"](spark, DATA).select("paragraph_id", "context").collect())
+    assert got == want and max(Counter(k for k, _ in got.elements()).values()) > 1
+
+
+def test_places_of_a_word(spark):
+    found = spark.createDataFrame([(0, "a.ba.b"), (1, "xa.b é𝒳a.b."), (2, "aab"), (3, ""), (4, None)], "i int, t string").orderBy("i").select(places(F.col("t"), "a.b").alias("x")).collect()
+    assert [r.x for r in found] == [[0, 3], [1, 7], [], [], None]
