@@ -214,7 +214,14 @@ def token_keys(token: str) -> list[str]:
             a, b = length // 3, 2 * length // 3
             for i, (start, stop) in enumerate(((0, a), (a, b), (b, length))):
                 for at in range(max(0, start - MOST_EDITS), min(n - (stop - start), start + MOST_EDITS) + 1):
-                    keys.add(f"{length}/{i}/{token[at : at + stop - start]}")
+                    end = at + stop - start
+                    left, right = token[at - 1 : at], token[end : end + 1]
+                    keys.add(f"{length}/{i}/{token[at:end]}")
+                    # a swap over a border of the part is taken back
+                    if left:
+                        keys.add(f"{length}/{i}/{left}{token[at + 1 : end]}")
+                    if right:
+                        keys.add(f"{length}/{i}/{token[at : end - 1]}{right}")
         if n >= 8:
             keys.update(f"={token[:k]}" for k in range(4, n - 1))
             keys.update(f"={token[k:]}" for k in range(2, n - 3))
@@ -274,9 +281,12 @@ def canonical(names: DataFrame, reference: DataFrame) -> DataFrame:
     index = _with_list(words, "word", "keys", vocabulary_keys, "array<string>").select("word", F.explode("keys").alias("key"))
     probes = _with_list(tokens, "token", "keys", token_keys, "array<string>").select("token", F.explode("keys").alias("key"))
     near = F.levenshtein("token", "word", MOST_EDITS + 1)
+    # two swaps are four edits there, but keep the letters; a plural may have one more
+    letters = lambda c: F.array_sort(F.split(c, ""))
+    swapped = (letters(F.col("token")) == letters(F.col("word"))) | (letters(F.col("token")) == letters(F.concat("word", F.lit("s"))))
     cut_off = F.col("word").startswith(F.col("token")) | F.col("token").startswith(F.col("word")) | F.col("token").endswith(F.col("word"))
     # both sides are longer than their estimates, which know nothing of the keys of a token: no broadcast
-    met = probes.join(index.hint("merge"), "key").where(F.col("key").startswith("f") | (near >= 0) | cut_off)
+    met = probes.join(index.hint("merge"), "key").where(F.col("key").startswith("f") | (near >= 0) | swapped | cut_off)
     repaired = cut(met.select("token", "word").union(exact.select("token", F.col("token").alias("word"))).distinct())
     known = asked.join(exact, "token").groupBy("name").agg(F.collect_set("token").alias("known"))
     meant = asked.join(repaired.hint("merge"), "token").select("name", F.col("word").alias("anchor")).distinct()
