@@ -51,7 +51,7 @@ def _open(value: object, depth: int = 0) -> object:
 
 
 def _leaves(value: object, path: str, ordinals: tuple[int, ...]) -> Iterator[tuple]:
-    """Depth first, in stored order; the stack is explicit, so depth is bounded by memory alone."""
+    """Depth first, in stored order; the stack is explicit, so depth is bounded by the JSON parser alone."""
     stack: list[tuple] = [(value, path, ordinals)]
     while stack:
         v, p, o = stack.pop()
