@@ -42,7 +42,7 @@ def _similar_paragraphs(s, d):
 
 
 def _hybrid(s, d):
-    """Vectors of the label that is most frequent, ranked by similarity and by how common their label is."""
+    """The 50 vectors nearest by similarity, with how common their label is; the count does not rank."""
     labels = table(s, d, "embeddings").groupBy("label").agg(F.count("*").alias("n"))
     near = S.nearest_to(_vectors(s, d), 3, 50)
     return table(s, d, "embeddings").select(F.col("vec_id").alias("id"), "label").join(F.broadcast(near), "id").join(labels, "label").select("id", "label", "n", F.round("similarity", 6).alias("similarity"))
