@@ -11,10 +11,10 @@ RANKS = mixture.RANKS
 
 
 def test_poisson_below_a_cap_has_the_wanted_mean():
-    for wanted, cap in [(0.1, 1), (0.9, 1), (1.7, 2), (3.5, 8), (0.0, 4), (4.0, 4)]:
-        steps = mixture.poisson_steps(wanted, cap)
-        assert len(steps) == cap and steps == sorted(steps)
-        assert math.isclose(sum(1 - s for s in steps), wanted, abs_tol=1e-6)  # E[X] = sum P(X > n)
+    for wanted, cap in [(0.1, 1), (0.9, 1), (1.7, 2), (3.5, 8), (0.0, 4), (4.0, 4), (900.5, 5000), (1e6, 10**9)]:
+        sure, steps = mixture.poisson_steps(wanted, cap)
+        assert sure + len(steps) <= cap and steps == sorted(steps) and len(steps) < 200_000
+        assert math.isclose(sure + sum(1 - s for s in steps), wanted, rel_tol=1e-9, abs_tol=1e-9)  # E[X] = sum P(X > n)
 
 
 @pytest.mark.skipif(not os.path.exists(RANKS), reason="no vocabulary here")
@@ -37,6 +37,54 @@ def test_shares_caps_and_order(spark):
     assert mixture.mixture(docs.limit(0), targets).count() == 0 and mixture.mixture(docs, targets.limit(0)).count() == 0
 
 
+@pytest.mark.skipif(not os.path.exists(RANKS), reason="no vocabulary here")
+def test_every_source_of_very_many_is_planned(spark):
+    """More targets than a broadcast takes, most of them without documents."""
+    docs = spark.range(12_000).selectExpr("id AS doc_id", "'one two three' AS text", "concat('s', id) AS source")
+    targets = spark.range(30_000).selectExpr("concat('s', id) AS source", "1e-4D AS target_share", "2 AS max_repeats")
+    weighed = mixture.cut(mixture.weigh(docs))
+    planned = mixture.plan(weighed, targets)
+    assert planned.count() == 12_000 and planned.where("sure = 2").count() == 12_000
+    assert mixture.replicate(weighed, planned).groupBy().sum("copies").first()[0] == 24_000
+
+
+@pytest.mark.skipif(not os.path.exists(RANKS), reason="no vocabulary here")
+def test_uses_equal_a_loop(spark):
+    """Uses of every record from its hashed number and the Poisson distribution, in plain Python."""
+    docs = spark.createDataFrame([(i, "tok " * (1 + i % 5), "ab"[i % 2]) for i in range(400)], "doc_id bigint, text string, source string")
+    targets = spark.createDataFrame([("a", 0.25, 3), ("b", 0.75, 5)], "source string, target_share double, max_repeats int")
+    units = {r.doc_id: r.u for r in docs.select("doc_id", mixture.unit(mixture.F.col("doc_id"), 42).alias("u")).collect()}
+    tokens = {i: mixture.count_tokens("tok " * (1 + i % 5)) for i in range(400)}
+    held = {s: sum(t for i, t in tokens.items() if "ab"[i % 2] == s) for s in "ab"}
+    size = min(3 * held["a"] / 0.25, 5 * held["b"] / 0.75)
+    want = {}
+    for s, share, cap in (("a", 0.25, 3), ("b", 0.75, 5)):
+        mean, rate = min(cap, size * share / held[s]), 0.0
+        if mean < cap:
+            below = lambda r: sum(min(n, cap) * math.exp(-r) * r**n / math.factorial(n) for n in range(60))
+            lo, hi = 0.0, 50.0
+            for _ in range(80):
+                rate = (lo + hi) / 2
+                lo, hi = (rate, hi) if below(rate) < mean else (lo, rate)
+        for i in (i for i in range(400) if "ab"[i % 2] == s):
+            n, total = 0, math.exp(-rate)
+            while n < cap and (mean == cap or units[i] >= total):
+                n += 1
+                total += math.exp(-rate) * rate**n / math.factorial(n)
+            want[i] = n
+    weighed = mixture.weigh(docs)
+    got = {r.key: r.copies for r in mixture.replicate(weighed, mixture.plan(weighed, targets)).collect()}
+    assert got == {i: n for i, n in want.items() if n}
+
+
+@pytest.mark.skipif(not os.path.exists(RANKS), reason="no vocabulary here")
+def test_long_texts_are_counted_whole():
+    encode = mixture._encoding(RANKS).encode_ordinary
+    for text in (" " * 200_000 + "abc", "ab" + " " * 200_000, "x " + "\n" * 60_000 + " y  z", "a" * 300_000, "q" + " \n" * 40_000 + "end it", "word " * 50_000):
+        assert mixture.count_tokens(text) == len(encode(text))
+    assert mixture.count_tokens("a" + " " * 3_000_000 + "b") > 1  # too long for the split pattern
+
+
 @pytest.mark.skipif(not os.path.exists(RANKS), reason="no vocabulary here")
 def test_token_counts_of_odd_texts(spark):
     texts = [None, "", "a", "<|endoftext|>", "x" * 100_000, " " * 50_000, "漢字" * 2000, "one two three"]
