@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from biblioscope.operators import nested
 
 TERMS = ["Neoplasms, Acute", " Two  words ", None, "", "Same", "Same"]
@@ -71,3 +73,45 @@ def test_related_tables_keep_the_link(spark):
     assert tags == {(0, 0): "x", (0, 1): "y"}
     top = nested.related_table(triples, "", {"id": "id"}).collect()
     assert [(r.key, list(r.ordinals), r.id) for r in top] == [(7, [], "P")]
+
+
+def test_deep_records_are_read(spark):
+    """Depths at which a recursive reader fails, around, beside and above what is wanted."""
+    deep = "[" * 50_000 + "]" * 50_000
+    objects = '{"a":' * 30_000 + "1" + "}" * 30_000
+    base = json.dumps(record(["A"], {"name": "p"}))
+    inner = base
+    for _ in range(40):
+        inner = '{"record":' + inner + "}"
+    payloads = [base[:-1] + f',"x":{deep}' + "}", base[:-1] + f',"x":{objects}' + "}", inner, "[" * 20_000 + base + "]" * 20_000, base[:-1] + f',"x":{deep[:-1]}' + "}"]
+    got = found(spark, payloads)
+    assert got == {i: [(0, "A", "p")] for i in range(4)}
+    df = spark.createDataFrame([(i, p) for i, p in enumerate([*payloads, None, "", "3", '"x"', "[1, 2]"])], "k bigint, j string")
+    assert sorted(r.key for r in nested.unreadable(df, "k", "j").collect()) == [4, 5, 6, 7, 8]
+    levels = nested.path_triples(spark.createDataFrame([(1, "[" * 2000 + "]" * 2000)], "k bigint, j string"), "k", "j")
+    assert levels.count() == 1  # lists of one are opened down to the last
+    levels = nested.path_triples(spark.createDataFrame([(1, '{"a":' + "[" * 2000 + "]" * 2000 + "}")], "k bigint, j string"), "k", "j")
+    assert levels.count() == 2000  # the record, and 1,999 elements that are arrays
+
+
+def test_empty_elements_keep_their_rows(spark):
+    payload = json.dumps({"rels": [{}, {"tags": []}, {"tags": [{"t": 1}, {}]}, [], None], "empty": [], "none": {}, "note": "[12]", "more": '{"s": 1}'})
+    triples = nested.path_triples(spark.createDataFrame([(7, payload)], "k bigint, j string"), "k", "j", text_at=("more",))
+    rels = {tuple(r.ordinals): r.s for r in nested.related_table(triples, "rels[]", {"s": "s"}).collect()}
+    assert rels == {(i,): None for i in range(5)}
+    tags = {tuple(r.ordinals): r.t for r in nested.related_table(triples, "rels[].tags[]", {"t": "t"}).collect()}
+    assert tags == {(2, 0): "1", (2, 1): None}
+    assert {t[:1] for t in tags} <= set(rels)
+    rows = {(r.path, r.kind, r.value) for r in triples.collect()}
+    assert {("empty", "array", None), ("none", "object", None), ("note", "string", "[12]"), ("more.s", "number", "1")} <= rows
+    every = nested.element_rows(triples, {"t": nested.F.col("path").endswith(".t")})
+    assert {(r.ancestor, tuple(r.ordinals)) for r in every.collect()} == {("", ())} | {("rels[]", (i,)) for i in range(5)} | {("rels[].tags[]", (2, i)) for i in range(2)}
+
+
+def test_repeated_keys_and_records(spark):
+    payload = '{"metadata": {"mesh_terms": ["A"], "mesh_terms": ["B", "C"]}}'
+    df = spark.createDataFrame([(1, payload), (1, payload), (2, "  " + payload + " \n")], "rec_id bigint, payload string")
+    assert sorted((r.rec_id, r.term_no, r.mesh_term) for r in nested.mesh_terms(df).collect()) == [(1, 0, "B"), (1, 1, "C"), (2, 0, "B"), (2, 1, "C")]
+    for bad in ("{'a': 1}", '{"a" 1}', '{"a": 1,}', "[1 2]", '{"a": 01}', '{"a": "\n"}', "{}x", "[", '{"a"', ""):
+        with pytest.raises(ValueError):
+            nested.events(bad)
