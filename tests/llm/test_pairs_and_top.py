@@ -4,6 +4,7 @@ import itertools
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from biblioscope.llm import cooccur, topn
@@ -21,9 +22,9 @@ def brute_pairs(rows, min_count, lift):
     return {(a, b, k) for (a, b), k in pairs.items() if k >= min_count and k * len(baskets) >= lift * n[a] * n[b]}
 
 
-@pytest.mark.parametrize("wide", [1000, 12])
-def test_pairs_equal_brute_force(spark, wide):
-    """With ``wide`` at 12 the long records take the way of blocks of items."""
+@pytest.mark.parametrize("block_items", [1000, 12, 1])
+def test_pairs_equal_brute_force(spark, block_items):
+    """With few items to a block the range of items is parted for the long records, down to one item."""
     rng = random.Random(3)
     rows = []
     for r in range(150):
@@ -33,19 +34,42 @@ def test_pairs_equal_brute_force(spark, wide):
             rows += [(f"r{r}", "x"), (f"r{r}", "Y"), (f"r{r}", "x")]
     rows += [(None, "x"), ("r1", None)]
     df = spark.createDataFrame(rows, "record string, item string")
-    got = {(r.item_a, r.item_b, r.n_ab) for r in cooccur.pairs_together(df, min_count=3, min_lift=1.5, wide=wide).collect()}
+    got = {(r.item_a, r.item_b, r.n_ab) for r in cooccur.pairs_together(df, min_count=3, min_lift=1.5, block_items=block_items).collect()}
     want = brute_pairs(rows, 3, 1.5)
     assert want and got == want
     assert all(a < b for a, b, _ in got)
 
 
-def test_pairs_only_in_wide_records(spark):
+def test_pairs_only_in_long_records(spark):
     rows = [(f"w{r}", f"i{i}") for r in range(8) for i in range(30)] + [(f"n{r}", f"z{r}") for r in range(400)]
     df = spark.createDataFrame(rows, "record string, item string")
-    got = {(r.item_a, r.item_b, r.n_ab) for r in cooccur.pairs_together(df, wide=10).collect()}
+    got = {(r.item_a, r.item_b, r.n_ab) for r in cooccur.pairs_together(df, block_items=10).collect()}
     assert got == brute_pairs(rows, 6, 5.0) and len(got) == 30 * 29 // 2
 
 
+def test_product_of_blocks():
+    rng = np.random.default_rng(1)
+    x, y = rng.random((40, 30)) < 0.2, rng.random((40, 50)) < 0.1
+    got = np.zeros((30, 50), int)
+    for a, b, n in cooccur.block_product(np.nonzero(x), np.nonzero(y)):
+        np.add.at(got, (a, b), n)
+    assert (got == x.T.astype(int) @ y).all()
+    got = np.zeros((30, 30), int)
+    for a, b, n in cooccur.block_product(np.nonzero(x), None):
+        np.add.at(got, (a, b), n)
+    assert (got == np.triu(x.T.astype(int) @ x, 1)).all()
+
+
+def test_one_record_with_most_cells(spark):
+    """A record that holds a third of all rows is parted; its pairs count with those of the others."""
+    rows = [("hot", f"i{i}") for i in range(1500)] + [(f"r{r}", f"i{(r * 7 + d) % 1500}") for r in range(1500) for d in (0, 1)]
+    rows += [(f"q{r}", f"i{10 * (r % 9)}") for r in range(60)] + [(f"q{r}", f"i{10 * (r % 9) + 3}") for r in range(60)]
+    df = spark.createDataFrame(rows, "record string, item string")
+    got = {(r.item_a, r.item_b, r.n_ab) for r in cooccur.pairs_together(df, min_count=4, min_lift=2.0, block_items=100).collect()}
+    want = brute_pairs(rows, 4, 2.0)
+    assert want and got == want
+
+
 def test_pairs_of_nothing(spark):
     assert cooccur.pairs_together(spark.createDataFrame([], "record string, item string")).count() == 0
 
