@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BINS = 1024
-#: Groups that hold at least 1/HOT_SHARE of all rows are filtered before the shuffle. There are at most
-#: HOT_SHARE of them, whatever the data, so their thresholds are a broadcast of proven size.
-HOT_SHARE = 1000
+#: Groups of more rows than a limit are filtered before the shuffle, by thresholds that are broadcast. The limit is
+#: a thousandth of all rows, at most HOT_ROWS, so that no other group is long; there are never more than MOST_HOT such
+#: groups, as it is also at least 1/MOST_HOT of all rows.
+HOT_SHARE, HOT_ROWS, MOST_HOT = 1000, 1_000_000, 200_000
 
 
 def clean_id(col: Column) -> Column:
@@ -29,7 +30,7 @@ def latest(df: DataFrame, key: str, time: str, columns: list[str]) -> DataFrame:
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(best.alias("_b")).select(key, *[F.col(f"_b.{c}").alias(c) for c in columns])
 
 
-def top_n(df: DataFrame, group: str, score: str, tie: str, n: int, *, lo: float = 0.0, hi: float = 1.0, more_than: int = 0) -> DataFrame:
+def top_n(df: DataFrame, group: str, score: str, tie: str, n: int, *, lo: float = 0.0, hi: float = 1.0, more_than: int = 0, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(group, rank_no, tie, score): the first ``n`` rows of each group by score descending, then tie ascending.
 
     Rows with a null group, a null or NaN score, or a score outside [lo, hi] take no part; -0.0 equals 0.
@@ -51,13 +52,14 @@ def top_n(df: DataFrame, group: str, score: str, tie: str, n: int, *, lo: float
         F.max(F.when(F.col("above") >= n, F.col("bin"))).alias("threshold"), F.sum("k").alias("total")
     ).where(F.col("total") > more_than).select("g", F.coalesce("threshold", F.lit(0)).alias("threshold"), "total")
     grand = rows.agg(F.count("*").alias("all")).first()["all"]
-    hot = bounds.where(F.col("total") > max(n, grand // HOT_SHARE)).select("g", F.col("threshold").alias("hot_threshold"))
+    limit = max(n, grand // MOST_HOT, min(grand // HOT_SHARE, hot_rows))
+    hot = bounds.where(F.col("total") > limit).select("g", F.col("threshold").alias("hot_threshold"))
     marked = rows.join(F.broadcast(hot), "g", "left")
     # A hot group's rows leave by their broadcast threshold before any shuffle. Those that tie at it pass a
     # partial group limit on each map task, so none of its tasks gets more than N rows from a map task.
     order = Window.partitionBy("g").orderBy(F.desc("s"), F.asc("t"))
     from_hot = marked.where(F.col("bin") >= F.col("hot_threshold")).select("g", "s", "t").withColumn("rank_no", F.row_number().over(order)).where(F.col("rank_no") <= n)
-    cold = bounds.where(F.col("total") <= max(n, grand // HOT_SHARE))
+    cold = bounds.where(F.col("total") <= limit)
     from_cold = (
         marked.where(F.col("hot_threshold").isNull())
         .select("g", "s", "t", "bin")

@@ -116,3 +116,16 @@ def test_top_n_keeps_equal_rows_and_small_groups(spark):
     df = spark.createDataFrame([("g", 0.5, "a")] * 3 + [("h", 0.1, "z"), (None, 0.3, "n")], "k string, v double, t string")
     got = sorted((r.k, r.rank_no, r.t) for r in topn.top_n(df, "k", "v", "t", 2).collect())
     assert got == [("g", 1, "a"), ("g", 2, "a"), ("h", 1, "z")]
+
+
+@pytest.mark.parametrize("hot_rows", [topn.HOT_ROWS, 3, 0])
+def test_top_n_of_hot_groups(spark, hot_rows):
+    """Whatever group counts as hot, the rows are the same; one group holds a third of them, with many ties."""
+    rng = random.Random(8)
+    rows = [("hot" if i % 3 == 0 else f"g{i % 90}", rng.choice([0.5, 0.9, rng.random()]), f"t{i:05}") for i in range(6000)]
+    groups = defaultdict(list)
+    for g, v, t in rows:
+        groups[g].append((-v, t))
+    want = {(g, n + 1, t) for g, v in groups.items() for n, (_, t) in enumerate(sorted(v)[:4])}
+    df = spark.createDataFrame(rows, "k string, v double, t string")
+    assert {(r.k, r.rank_no, r.t) for r in topn.top_n(df, "k", "v", "t", 4, hot_rows=hot_rows).collect()} == want
