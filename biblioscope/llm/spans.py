@@ -21,6 +21,8 @@ from biblioscope.session import cut
 BASE = (0x9E3779B97F4A7C15) | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 SEED_K = 280
+#: Records of one seed, and of one class of copies, that a task pairs with as many others.
+PAIR_BLOCK = 256
 #: Runs hashed at once.
 BLOCK = 1_000_000
 
@@ -29,15 +31,23 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
+#: Powers of the base and of its inverse, as many as the longest text so far took.
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(size: int) -> list[np.ndarray]:
+    if not _POWERS or len(_POWERS[0]) < size:
+        _POWERS[:] = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, x, np.uint64)])) for x in (BASE, INVERSE)]
+    return _POWERS
+
+
 def kmer_hashes(points: np.ndarray, k: int) -> np.ndarray:
     """A 64-bit hash of every run of k code points (polynomial modulo 2**64, mixed)."""
     n = len(points)
     if n < k:
         return np.empty(0, np.uint64)
-    power = np.full(n, BASE, np.uint64)
-    inverse = np.full(n - k + 1, INVERSE, np.uint64)
-    power[0] = inverse[0] = 1
-    power, inverse = np.cumprod(power), np.cumprod(inverse)
+    power, inverse = _powers(1 << (n - 1).bit_length())
+    power, inverse = power[:n], inverse[: n - k + 1]
     x = points.astype(np.uint64) + np.uint64(1)
     x *= np.uint64(0xD6E8FEB86659FD93)
     x ^= x >> np.uint64(32)
@@ -212,6 +222,15 @@ def _aligned(text_a: str, text_b: str, pos_a: np.ndarray, pos_b: np.ndarray, who
     return sorted(found)
 
 
+def in_blocks(df: DataFrame, member: str) -> tuple[DataFrame, DataFrame]:
+    """Two sides of a join of every member of a group of ``n`` with every other, parted into blocks x and y of about
+    PAIR_BLOCK members: a task never has more than the pairs of two blocks, and a small group is sent once."""
+    blocks = F.ceil(F.col("n") / PAIR_BLOCK).cast("int")
+    own = F.pmod(F.xxhash64(member), blocks).cast("int")
+    sent = df.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return sent.withColumn("x", F.col("own")).withColumn("y", F.col("other")), sent.withColumn("x", F.col("other")).withColumn("y", F.col("own"))
+
+
 def shared_spans(docs: DataFrame, id_col: str, text_col: str, *, least: int = 400, k: int = SEED_K) -> tuple[DataFrame, DataFrame]:
     """Two tables: spans (i, j, pos_i, pos_j, length) between different texts, and members (doc, i) by text.
 
@@ -227,11 +246,12 @@ def shared_spans(docs: DataFrame, id_col: str, text_col: str, *, least: int = 40
     members = members.join(lead, "digest").select("doc", "i")
     texts = long_enough.join(lead, (F.col("doc") == F.col("i")), "left_semi").select(F.col("doc").alias("i"), "text").dropDuplicates(["i"])
     found = seeds(texts, k, least - k + 1)
-    shared = found.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("hash")
-    linked = cut(found.join(shared, "hash", "left_semi"))
-    left = linked.select("hash", F.col("i"), F.col("pos").alias("pos_i"), F.col("again").alias("again_i"))
-    right = linked.select("hash", F.col("i").alias("j"), F.col("pos").alias("pos_j"), F.col("again").alias("again_j"))
-    matches = left.join(right, "hash").where(F.col("i") < F.col("j"))
+    shared = found.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    linked = cut(found.join(shared, "hash"))
+    left, right = in_blocks(linked, "i")
+    left = left.select("hash", "x", "y", F.col("i"), F.col("pos").alias("pos_i"), F.col("again").alias("again_i"))
+    right = right.select("hash", "x", "y", F.col("i").alias("j"), F.col("pos").alias("pos_j"), F.col("again").alias("again_j"))
+    matches = left.join(right, ["hash", "x", "y"]).where(F.col("i") < F.col("j"))
     pairs = matches.groupBy("i", "j").agg(F.collect_list("pos_i").alias("pi"), F.collect_list("pos_j").alias("pj"), F.max(F.col("again_i") | F.col("again_j")).alias("whole"))
     with_text = pairs.join(texts.select("i", F.col("text").alias("ti")), "i").join(texts.select(F.col("i").alias("j"), F.col("text").alias("tj")), "j")
 
@@ -251,7 +271,10 @@ def sharing_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spans, members = shared_spans(docs, id_col, text_col, least=least)
     pairs = spans.select("i", "j").distinct()
     across = pairs.join(members.select(F.col("doc").alias("x"), "i"), "i").join(members.select(F.col("doc").alias("y"), F.col("i").alias("j")), "j").select("x", "y")
-    within = members.select(F.col("doc").alias("x"), "i").join(members.select(F.col("doc").alias("y"), "i"), "i").where("x < y").select("x", "y")
+    # a class of copies may be large: its records are paired in blocks
+    sizes = members.groupBy("i").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    left, right = in_blocks(members.join(sizes, "i"), "doc")
+    within = left.select("i", "x", "y", F.col("doc").alias("a")).join(right.select("i", "x", "y", F.col("doc").alias("b")), ["i", "x", "y"]).where("a < b").select(F.col("a").alias("x"), F.col("b").alias("y"))
     return across.unionByName(within).select(F.least("x", "y").alias("doc_a"), F.greatest("x", "y").alias("doc_b"))
 
 

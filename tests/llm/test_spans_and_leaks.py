@@ -65,6 +65,18 @@ def test_blocks_and_parts_of_long_texts_change_nothing(spark, monkeypatch):
     assert got == {(3000, 3000 + len(ITEM.split()))}
 
 
+def test_hot_seeds_and_classes_are_paired_in_blocks(spark, monkeypatch):
+    """A run that most texts hold, and a class of many copies, with blocks of four and with one block."""
+    rng = random.Random(6)
+    block = some_text(rng, 420)
+    docs = [(i, some_text(rng, 40 + i) + block + some_text(rng, 30)) for i in range(25)] + [(100 + i, block + "copy") for i in range(19)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    for size in (4, 256):
+        monkeypatch.setattr(spans, "PAIR_BLOCK", size)
+        got = [(r.doc_a, r.doc_b) for r in spans.sharing_pairs(df).collect()]
+        assert len(got) == len(set(got)) == 44 * 43 // 2 and set(got) == shared_brute(docs, 400)[0]
+
+
 def test_no_documents(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert spans.sharing_pairs(df).count() == 0 and spans.shared_part(df).count() == 0
