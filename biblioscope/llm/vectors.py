@@ -27,10 +27,11 @@ WORD = 64
 SUB = 16
 #: Rows of a cell before it is divided by a longer prefix; a cell that stays larger is worked on in chunks.
 CELL_ROWS = 250_000
-#: Rows of a space that the rotation is learned from (those with the lowest hash); the index holds every row.
+#: Rows of a space that the rotation is learned from, about (those with a low hash); the index holds every row.
 FIT_ROWS = 20_000
-#: Bits in which two codes may differ in all, of each 64: pairs beyond are not ranked by their floats.
-MOST_BITS = 13
+#: Words of 64 bits in a code, and bits in which two codes may differ in each on average: about four standard deviations
+#: more than vectors of cosine 0.90 differ in. Pairs beyond are not ranked by their floats.
+WORDS, MOST_BITS = 3, 16
 #: Candidates up to this number are joined as a broadcast (16 bytes each).
 BROADCAST_ROWS = 500_000
 
@@ -48,8 +49,13 @@ def one_a_key(df: DataFrame) -> DataFrame:
 
 
 def learn_rotations(df: DataFrame, words: int, seed: int = 7, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
-    """(mean, rotations) for ``words`` * 64 bits, from at most FIT_ROWS rows of ``df`` (id, vec)."""
-    sample = df.orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS).select("vec").toPandas()["vec"]
+    """(mean, rotations) for ``words`` * 64 bits, from about FIT_ROWS rows of ``df`` (id, vec).
+
+    The rows whose hash is below FIT_ROWS / (number of different keys) are taken: they leave their tasks as one row a
+    key, and no more of them reach the driver as the table grows."""
+    keys = df.agg(F.approx_count_distinct("id", 0.02).alias("n")).first()["n"]
+    low = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < math.ceil(FIT_ROWS / max(keys, 1) * (1 << 30))
+    sample = one_a_key(df.where(low)).toPandas().sort_values("id")["vec"]
     if not len(sample):
         return np.zeros(0), np.zeros((words, 0, WORD))
     x = np.stack(sample.to_numpy()).astype(np.float64)
@@ -93,7 +99,7 @@ def _flips(bits: int, most: int) -> list[int]:
     return [sum(1 << b for b in c) for k in range(most + 1) for c in itertools.combinations(range(bits), k)]
 
 
-def _search_cell(key: tuple, pdf: pd.DataFrame, words: int, prefix_bits: int, radius: int) -> pd.DataFrame:
+def _search_cell(key: tuple, pdf: pd.DataFrame, words: int, prefix_bits: int, radius: int, most_bits: int) -> pd.DataFrame:
     """Pairs (a, b), a < b, found in one cell; each pair only by the first substring that finds it."""
     sub, prefix = int(key[1]), int(key[2])
     word, shift = divmod(sub * SUB, WORD)
@@ -107,9 +113,20 @@ def _search_cell(key: tuple, pdf: pd.DataFrame, words: int, prefix_bits: int, ra
     home = home[np.argsort(low[home], kind="stable")]
     starts = np.searchsorted(low[home], np.arange((1 << low_bits) + 1))
     found = []
-    for mask in _flips(low_bits, radius):
-        asks = np.flatnonzero(away + int(mask).bit_count() <= radius)
-        lo, hi = starts[low[asks] ^ mask], starts[(low[asks] ^ mask) + 1]
+
+    def probes():
+        """Rows that ask, with the stretch of ``home`` each probe reads: by flipped bits, or by the values there are."""
+        values = np.unique(low[home])
+        if sum(math.comb(low_bits, k) for k in range(radius + 1)) <= len(values):
+            for mask in _flips(low_bits, radius):
+                asks = np.flatnonzero(away + int(mask).bit_count() <= radius)
+                yield asks, starts[low[asks] ^ mask], starts[(low[asks] ^ mask) + 1]
+        else:
+            for v in values.tolist():
+                asks = np.flatnonzero(away + np.bitwise_count((low ^ v).astype(np.uint64)) <= radius)
+                yield asks, np.full(len(asks), starts[v]), np.full(len(asks), starts[v + 1])
+
+    for asks, lo, hi in probes():
         per = hi - lo
         step = 0
         while step < len(asks):  # at most about four million candidates at once
@@ -121,7 +138,7 @@ def _search_cell(key: tuple, pdf: pd.DataFrame, words: int, prefix_bits: int, ra
             keep = ids[q] < ids[hit]
             q, hit = q[keep], hit[keep]
             differ = codes[q] ^ codes[hit]
-            near = np.bitwise_count(differ).sum(1) <= MOST_BITS * words
+            near = np.bitwise_count(differ).sum(1) <= most_bits * words
             q, hit, differ = q[near], hit[near], differ[near]
             new = np.ones(len(q), bool)
             for earlier in range(sub):
@@ -133,7 +150,7 @@ def _search_cell(key: tuple, pdf: pd.DataFrame, words: int, prefix_bits: int, ra
     return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
-def candidate_pairs(coded: DataFrame, n: int, words: int, radius: int) -> DataFrame:
+def candidate_pairs(coded: DataFrame, n: int, words: int, radius: int, most_bits: int = MOST_BITS) -> DataFrame:
     """(a, b) of rows of ``coded`` (space, i, codes) whose codes lie near each other."""
     prefix_bits = min(12, max(0, math.ceil(math.log2(max(n, 1) / CELL_ROWS)))) if n > CELL_ROWS else 0
     subs = words * WORD // SUB
@@ -145,7 +162,7 @@ def candidate_pairs(coded: DataFrame, n: int, words: int, radius: int) -> DataFr
     cells = coded.select("space", F.explode(F.array(*[F.struct(F.lit(s).alias("sub"), prefix(s).alias("prefix")) for s in range(subs)])).alias("at")).groupBy("space", "at.sub", "at.prefix").agg(F.ceil(F.count("*") / (2 * CELL_ROWS)).cast("int").alias("chunks")).where("chunks > 1")
     own = F.pmod(F.xxhash64("i"), F.col("chunks"))
     chunked = base.join(F.broadcast(cells), ["space", "sub", "prefix"], "left").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("chunks"), F.lit(1)) - 1))).withColumn("home", F.col("home") & (F.col("chunks").isNull() | (own == F.col("chunk"))))
-    return chunked.drop("chunks").groupBy("space", "sub", "prefix", "chunk").applyInPandas(lambda key, pdf: _search_cell(key, pdf, words, prefix_bits, radius), "a bigint, b bigint")
+    return chunked.drop("chunks").groupBy("space", "sub", "prefix", "chunk").applyInPandas(lambda key, pdf: _search_cell(key, pdf, words, prefix_bits, radius, most_bits), "a bigint, b bigint")
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -155,7 +172,7 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot, norm(a) * norm(b))
 
 
-def similar_pairs(spaces: dict[str, DataFrame], *, k: int = 5, min_cosine: float = 0.90, dim: int = 64, words: int = 2, radius: int = 1) -> DataFrame:
+def similar_pairs(spaces: dict[str, DataFrame], *, k: int = 5, min_cosine: float = 0.90, dim: int = 64, words: int = WORDS, radius: int = 1, most_bits: int = MOST_BITS) -> DataFrame:
     """(space, id_a, id_b, cosine): id_a < id_b, cosine >= min_cosine, one among the k nearest of the other.
 
     ``spaces`` names the collections, each with (id, embedding). Null, zero, not-a-number vectors, those of
@@ -163,6 +180,11 @@ def similar_pairs(spaces: dict[str, DataFrame], *, k: int = 5, min_cosine: float
     id. Vectors equal in every element form a class: its k nearest are its own lowest ids, so only the k + 1
     lowest members are searched and the others are linked to the k lowest (no class is expanded into all its
     pairs). An empty collection gives no rows.
+
+    Accuracy: every pair whose codes differ in less than (radius + 1) bits for each substring of SUB bits is a candidate, if
+    it differs in at most ``most_bits`` for each word. Other pairs may be missed, and then a farther neighbour may come
+    in among the k. More ``words`` or a larger ``radius`` find more; ``radius`` = SUB and ``most_bits`` = WORD compare all
+    pairs of a collection, which is exact, and grows with its square.
     """
     coded = []
     for name, df in spaces.items():
@@ -190,7 +212,7 @@ def similar_pairs(spaces: dict[str, DataFrame], *, k: int = 5, min_cosine: float
         searched = base.join(rest.select("i"), "i", "left_anti")
         first = lowest.where(F.col("place") <= k).groupBy(*same).agg(F.collect_list("id").alias("ids"))
         linked = rest.join(first, same).select("space", F.explode("ids").alias("id_a"), F.col("id").alias("id_b"), F.lit(1.0).alias("cosine"))
-    candidates = cut(candidate_pairs(searched.select("space", "i", "codes"), searched.count(), words, radius))
+    candidates = cut(candidate_pairs(searched.select("space", "i", "codes"), searched.count(), words, radius, most_bits))
     needed = candidates.select(F.explode(F.array("a", "b")).alias("i")).distinct()
     if candidates.count() <= BROADCAST_ROWS:
         needed = F.broadcast(needed)

@@ -63,3 +63,28 @@ def test_chunks_of_a_crowded_cell_find_all(spark, monkeypatch):
     whole = {(r.id_a, r.id_b) for r in vectors.similar_pairs({"a": frame(spark, rows)}).collect()}
     monkeypatch.setattr(vectors, "CELL_ROWS", 40)
     assert {(r.id_a, r.id_b) for r in vectors.similar_pairs({"a": frame(spark, rows)}).collect()} == whole
+
+
+def test_widest_search_is_exact(spark):
+    rng = np.random.default_rng(7)
+    base = rng.standard_normal((60, 64))
+    x = np.concatenate([base[i % 60][None] + 0.33 * rng.standard_normal((1, 64)) for i in range(300)])
+    rows = [(f"v{i:03}", [float(np.float32(y)) for y in v]) for i, v in enumerate(x)]
+    want, got = brute(rows), {}
+    for name, more in (("exact", {"words": 1, "radius": vectors.SUB, "most_bits": vectors.WORD}), ("one", {"words": 1}), ("three", {})):
+        got[name] = {(r.id_a, r.id_b) for r in vectors.similar_pairs({"a": frame(spark, rows)}, **more).collect()}
+    assert got["exact"] == want and len(want) > 200
+    assert len(got["one"] & want) <= len(got["three"] & want) and len(got["three"] & want) >= 0.99 * len(want)
+
+
+def test_sample_is_bounded_and_repeats_count_once(spark, monkeypatch):
+    """A key in a third of all rows does not swell the sample."""
+    monkeypatch.setattr(vectors, "FIT_ROWS", 50)
+    taken = []
+    monkeypatch.setattr(vectors.np.linalg, "eigh", lambda m, f=np.linalg.eigh: taken.append(m) or f(m))
+    seen = []
+    stack = np.stack
+    monkeypatch.setattr(vectors.np, "stack", lambda x, *a: seen.append(len(x)) or stack(x, *a))
+    df = spark.range(3000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id)) AS id", "transform(sequence(1, 64), x -> cast(if(id % 3 = 0, x, sin(id * x)) AS float)) AS vec")
+    vectors.learn_rotations(df, 1)
+    assert taken and 20 <= seen[0] <= 90
