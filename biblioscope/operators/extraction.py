@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,13 +26,28 @@ EDGE_STOPWORDS = ["the", "and", "or", "but", "with", "from", "that", "this", "th
 DOCUMENT_STOPWORDS = [*EDGE_STOPWORDS, "a", "an", "as", "at"]
 
 
-def says(sentence: Column, predicate: str) -> Column:
-    return sentence.rlike("(?i)" + "|".join(f"(?:{p})" for p in CLAIM_PATTERNS[predicate]))
+#: Dictionary keys up to this number are joined as a broadcast, first words as a filter.
+MOST_BROADCAST = 200_000
 
 
-def first_predicate(sentence: Column) -> Column:
+def _stem(pattern: str) -> str:
+    """The letters that every match of a claim pattern begins with."""
+    found = re.match(r"\\b([a-z ]+)(\??)", pattern)
+    return found[1][:-1] if found[2] else found[1]
+
+
+def says(sentence: Column, predicate: str, low: Column | None = None) -> Column:
+    """Whether a sentence states a predicate. ``low`` is the sentence in lower case: a search for the letters that the
+    wording begins with spares most sentences the patterns."""
+    patterns = CLAIM_PATTERNS[predicate]
+    low = F.lower(sentence) if low is None else low
+    may = reduce(lambda a, b: a | b, (F.contains(low, F.lit(_stem(p))) for p in patterns))
+    return may & sentence.rlike("(?i)" + "|".join(f"(?:{p})" for p in patterns))
+
+
+def first_predicate(sentence: Column, low: Column | None = None) -> Column:
     """The first predicate a sentence states, in the fixed order; null if none."""
-    return reduce(lambda when, p: when.when(says(sentence, p), p), CLAIM_PATTERNS, F.when(F.lit(False), F.lit(None).cast("string")))
+    return reduce(lambda when, p: when.when(says(sentence, p, low), p), CLAIM_PATTERNS, F.when(F.lit(False), F.lit(None).cast("string")))
 
 
 def claim_confidence(section: Column) -> Column:
@@ -50,8 +66,8 @@ def claims(paragraphs: DataFrame, as_read: bool = False) -> DataFrame:
     With ``as_read`` the published reader's slip is kept: a sentence that repeats the last one that matched is
     tried for causes alone. A paragraph's sentences are folded within its row, so the work needs no shuffle.
     """
-    kept = F.filter(T.sentences(F.col("text")), lambda s: F.length(s) >= 20)
-    found = F.transform(kept, lambda s: F.struct(s.alias("sentence"), first_predicate(s).alias("predicate")))
+    kept = F.transform(F.filter(T.sentences(F.col("text")), lambda s: F.length(s) >= 20), lambda s: F.struct(s.alias("s"), F.lower(s).alias("low")))
+    found = F.transform(kept, lambda x: F.struct(x["s"].alias("sentence"), first_predicate(x["s"], x["low"]).alias("predicate")))
     if as_read:
         start = F.struct(F.lit("").alias("last"), F.array().cast("array<struct<sentence:string,predicate:string>>").alias("out"))
         step = lambda acc, x: F.when(
@@ -71,23 +87,29 @@ def claims(paragraphs: DataFrame, as_read: bool = False) -> DataFrame:
 
 def all_claims(paragraphs: DataFrame) -> DataFrame:
     """One row for each predicate a sentence states, up to one for each group of patterns."""
-    rows = sentence_rows(paragraphs)
-    stated = F.filter(F.array(*[F.when(says(F.col("sentence"), p), F.lit(p)) for p in CLAIM_PATTERNS]), lambda p: p.isNotNull())
+    rows = sentence_rows(paragraphs).withColumn("low", F.lower("sentence"))
+    stated = F.filter(F.array(*[F.when(says(F.col("sentence"), p, F.col("low")), F.lit(p)) for p in CLAIM_PATTERNS]), lambda p: p.isNotNull())
     return rows.select("paragraph_id", "paper_id", "section", "no", "sentence", F.explode(stated).alias("predicate"))
 
 
 def dictionary_mentions(paragraphs: DataFrame, index: DataFrame) -> DataFrame:
     """(paragraph_id, pos, n_words, entity_id): where the words of a dictionary's keys stand in paragraphs.
 
-    Keys and texts are cut to words in lower case. Each word of a text goes out once, with as many words after
-    it as the longest key has, and meets the keys it begins by an equi-join; neither the dictionary nor the texts
-    need to be small. The longest key is looked up when the plan is built."""
+    Keys and texts are cut to words in lower case. Each word of a text that a key begins with goes out once, with as many
+    words after it as the longest key has, and meets the keys it begins by an equi-join. The keys are broadcast only
+    up to MOST_BROADCAST of them; of more, the different first words up to that number are a filter before the shuffle, and
+    beyond it every word is sent. The longest key and the numbers are looked up when the plan is built."""
     word = r"[\p{L}\p{N}\-]+"
     words = lambda c: F.regexp_extract_all(F.lower(c), F.lit(word), F.lit(0))
     keys = index.select("entity_id", words(F.col("key")).alias("run")).where(F.size("run") > 0).distinct().withColumn("first", F.get("run", F.lit(0)))
-    most_words = index.agg(F.max(F.size(words(F.col("key")))).alias("n")).first()["n"] or 1
+    known = keys.agg(F.max(F.size("run")).alias("words"), F.count("*").alias("keys"), F.count_distinct("first").alias("firsts")).first()
+    most_words = known["words"] or 1
     runs = F.transform(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.struct(i.alias("pos"), F.slice("w", i + 1, F.lit(most_words)).alias("next")))
     at = paragraphs.select("paragraph_id", words(F.col("text")).alias("w")).where(F.size("w") > 0).select("paragraph_id", F.explode(runs).alias("r")).select("paragraph_id", "r.pos", "r.next", F.get("r.next", F.lit(0)).alias("first"))
+    if known["keys"] <= MOST_BROADCAST:
+        keys = F.broadcast(keys)
+    elif known["firsts"] <= MOST_BROADCAST:
+        at = at.join(F.broadcast(keys.select("first").distinct()), "first", "left_semi")
     met = at.join(keys, "first").where(F.slice("next", F.lit(1), F.size("run")) == F.col("run"))
     return met.select("paragraph_id", "pos", F.size("run").alias("n_words"), "entity_id")
 
@@ -169,7 +191,7 @@ def entities_from_mentions(mentions: DataFrame) -> DataFrame:
     ``seq`` orders the mentions. Forms are counted first, so an entity's rows meet as its different forms."""
     forms = mentions.withColumn("entity_id", T.canonical_id(F.col("name"))).groupBy("entity_id", "name").agg(F.min("seq").alias("seq"), F.count("*").alias("n"))
     listed = forms.groupBy("entity_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "name"))), lambda x: x["name"]).alias("forms"), F.sum("n").alias("n"))
-    return listed.select("entity_id", F.get("forms", F.lit(0)).alias("name"), F.slice("forms", 2, 1_000_000).alias("synonyms"), "n")
+    return listed.select("entity_id", F.get("forms", F.lit(0)).alias("name"), F.slice("forms", F.lit(2), F.size("forms")).alias("synonyms"), "n")
 
 
 def resolve_mentions(mentions: DataFrame, entities: DataFrame) -> DataFrame:

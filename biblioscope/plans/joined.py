@@ -72,8 +72,8 @@ UNION ALL SELECT object_id, predicate, subject_id, confidence FROM relationships
 , m AS (SELECT paper_id, entity_id, max(confidence) AS confidence FROM edge_mentions_v WHERE NOT isnan(confidence) AND confidence BETWEEN 0 AND 1 GROUP BY 1, 2)
 SELECT a.paper_id, a.entity_id AS a, b.entity_id AS b, least(a.confidence, b.confidence) AS confidence FROM m a JOIN m b ON a.paper_id = b.paper_id AND a.entity_id < b.entity_id WHERE least(a.confidence, b.confidence) >= 0.9::DOUBLE"""),
     "j7_recent_papers_of_triples": with_views("relationships_v", "papers_v", sql="SELECT subject_id, predicate, object_id, p.paper_id, p.publication_date FROM (SELECT subject_id, predicate, object_id, unnest(source_papers) AS paper_id FROM relationships_v) r JOIN papers_v p USING (paper_id) WHERE p.publication_date >= '2001-06-01'"),
-    "j8_two_hops": with_views("relationships_v", sql="SELECT a.subject_id AS start, a.object_id AS middle, b.object_id AS \"end\" FROM relationships_v a JOIN relationships_v b ON b.subject_id = a.object_id WHERE a.predicate = 'binds_to' AND a.subject_id IN ('GENE:1', 'GENE:2') AND b.predicate = 'treats'"),
-    "j9_traverse": with_views("relationships_v", sql="SELECT c.object_id AS \"end\", concat_ws('>', a.subject_id, a.object_id, b.object_id, c.object_id) AS path FROM relationships_v a JOIN relationships_v b ON b.subject_id = a.object_id JOIN relationships_v c ON c.subject_id = b.object_id WHERE a.subject_id = 'GENE:1' AND a.predicate = 'binds_to' AND b.predicate = 'treats' AND c.predicate = 'causes'"),
+    "j8_two_hops": with_views("relationships_v", sql="SELECT a.subject_id AS start, a.object_id AS middle, b.object_id AS \"end\" FROM relationships_v a JOIN relationships_v b ON b.subject_id = a.object_id WHERE a.predicate = 'binds_to' AND b.predicate = 'treats'"),
+    "j9_traverse": with_views("relationships_v", sql=", t AS MATERIALIZED (SELECT subject_id, predicate, object_id FROM relationships_v) SELECT c.object_id AS \"end\", concat_ws('>', a.subject_id, a.object_id, b.object_id, c.object_id) AS path FROM t a JOIN t b ON b.subject_id = a.object_id JOIN t c ON c.subject_id = b.object_id WHERE a.subject_id = 'GENE:1' AND a.predicate = 'binds_to' AND b.predicate = 'treats' AND c.predicate = 'causes'"),
     "j10_reachable": "WITH RECURSIVE paper_rels_v AS (" + graph.VIEWS["paper_rels_v"] + """), e AS (SELECT DISTINCT subject_id, object_id FROM paper_rels_v WHERE predicate IS NOT NULL),
 first AS (SELECT subject_id AS start FROM paper_rels_v WHERE subject_id IS NOT NULL GROUP BY 1 ORDER BY count(DISTINCT object_id) DESC, 1 LIMIT 1),
 walk AS (SELECT [start] AS path, start AS last, 0 AS hops FROM first UNION ALL SELECT list_append(w.path, e.object_id), e.object_id, w.hops + 1 FROM walk w JOIN e ON e.subject_id = w.last WHERE w.hops < 3 AND NOT list_contains(w.path, e.object_id))

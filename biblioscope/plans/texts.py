@@ -57,7 +57,7 @@ QUERIES = {
     "c1_sentences": lambda s, d: X.sentence_rows(_paragraphs(s, d)).select("paragraph_id", F.col("no").cast("long").alias("no"), "sentence"),
     "c4_all_claims": lambda s, d: X.all_claims(_paragraphs(s, d)).select("paragraph_id", F.col("no").cast("long").alias("no"), "predicate"),
     "c5_sample_sizes": lambda s, d: _paragraphs(s, d).select("paragraph_id", T.sample_size(F.col("text")).alias("n")).where("n IS NOT NULL"),
-    "c6_rates": lambda s, d: _paragraphs(s, d).select("paragraph_id", F.round(T.percentage(F.col("text")), 6).alias("rate")).where("rate IS NOT NULL"),
+    "c6_rates": lambda s, d: _paragraphs(s, d).select("paragraph_id", T.percentage(F.col("text")).alias("rate")).where("rate IS NOT NULL"),
     "c7_p_values": lambda s, d: _paragraphs(s, d).select("paragraph_id", T.p_value(F.col("text")).alias("p")).where("p IS NOT NULL"),
     "c8_strengths": lambda s, d: graph.assertions(s, d).select("paper_id", "subject_id", "sample_size", "p_value", F.round(T.evidence_strength(F.col("sample_size"), F.col("p_value")), 6).alias("strength")),
     "c9_evidence": lambda s, d: X.evidence(_paragraphs(s, d)),
@@ -80,22 +80,26 @@ QUERIES = {
     "g4_relationship_texts": lambda s, d: graph.paper_relationships(s, d).select("paper_id", "pos", F.coalesce("evidence", F.concat_ws(" ", "subject_id", "predicate", "object_id")).alias("text")),
 }
 
-_SENT = "SELECT paragraph_id, paper_id, section, no, sentence FROM (SELECT paragraph_id, paper_id, section, unnest(range(len(parts))) AS no, regexp_replace(unnest(parts), '^\\s+|\\s+$', '', 'g') AS sentence FROM (SELECT *, regexp_split_to_array(text, '[.!?]+') AS parts FROM paragraphs_v {where})) WHERE length(sentence) >= 20"
-_EN = "WHERE lang = 'en'"
+_SENT = "SELECT paragraph_id, paper_id, section, no, sentence FROM (SELECT paragraph_id, paper_id, section, unnest(range(len(parts))) AS no, regexp_replace(unnest(parts), '^\\s+|\\s+$', '', 'g') AS sentence FROM (SELECT *, regexp_split_to_array(text, '[.!?]+') AS parts FROM paragraphs_v)) WHERE length(sentence) >= 20"
+
+
+def _ascii(c: str) -> str:
+    """Word boundaries are ASCII in that SQL: other letters, marks and digits are made to count as letters."""
+    return f"regexp_replace({c}, '[^\\x00-\\x7F\\p{{P}}\\p{{S}}\\p{{Z}}\\p{{C}}\\p{{No}}\\p{{Nl}}]', 'x', 'g')"
 
 
 def _says(p: str) -> str:
-    # word boundaries are ASCII there: other letters are made to count as letters
-    return "regexp_matches(regexp_replace(sentence, '[À-ɏͰ-Ͽ]', 'x', 'g'), '(?i)" + "|".join(f"(?:{x})" for x in X.CLAIM_PATTERNS[p]) + "')"
+    return f"regexp_matches({_ascii('sentence')}, '(?i)" + "|".join(f"(?:{x})" for x in X.CLAIM_PATTERNS[p]) + "')"
 
 
 _FIRST = "CASE " + " ".join(f"WHEN {_says(p)} THEN '{p}'" for p in X.CLAIM_PATTERNS) + " END"
-_NUM = "nullif(regexp_extract(text, '{}', {}), '')"
-_N = f"coalesce({_NUM.format('(?i)\\bn\\s*=\\s*(\\d+)', 1)}::BIGINT, {_NUM.format('(?i)\\b(\\d+)\\s+(?:samples|patients|subjects|nodes|lymph nodes|individuals|cases)', 1)}::BIGINT)"
+_NUM = "nullif(regexp_extract(plain, '{}', {}), '')"
+_N = f"coalesce(try_cast({_NUM.format('(?i)\\bn\\s*=\\s*(\\d+)', 1)} AS BIGINT), try_cast({_NUM.format('(?i)\\b(\\d+)\\s+(?:samples|patients|subjects|nodes|lymph nodes|individuals|cases)', 1)} AS BIGINT))"
 _RATIO = "(\\d+)\\s*(?:/|of)\\s*(\\d+)"
 _R = f"coalesce({_NUM.format('(\\d+(?:\\.\\d+)?)\\s*%', 1)}::DOUBLE / 100.0::DOUBLE, {_NUM.format(_RATIO, 1)}::DOUBLE / nullif({_NUM.format(_RATIO, 2)}::DOUBLE, 0))"
 _VALUE = "\\s*[<>=]\\s*(0?\\.\\d+|[01](?:\\.\\d+)?)"
 _P = f"coalesce({_NUM.format('(?i)\\bp' + _VALUE, 1)}::DOUBLE, {_NUM.format('(?i)p\\s*-\\s*value' + _VALUE, 1)}::DOUBLE)"
+_PLAIN = f"(SELECT *, {_ascii('text')} AS plain FROM paragraphs_v)"
 
 
 def _strength(n: str, p: str) -> str:
@@ -103,28 +107,33 @@ def _strength(n: str, p: str) -> str:
 
 
 _WORDS = "regexp_extract_all(lower({}), '[\\p{{L}}\\p{{N}}\\-]+')"
-_KEYS = f"SELECT DISTINCT entity_id, array_to_string(w, ' ') AS run FROM (SELECT entity_id, {_WORDS.format('name')} AS w FROM reference_entities) WHERE len(w) BETWEEN 1 AND 5"
-_RUNS = f"SELECT paragraph_id, i AS pos, n AS n_words, array_to_string(w[i + 1:i + n], ' ') AS run FROM (SELECT paragraph_id, w, unnest(range(len(w))) AS i FROM (SELECT paragraph_id, {_WORDS.format('text')} AS w FROM paragraphs_v)), (SELECT unnest(range(1, 6)) AS n) WHERE i + n <= len(w)"
+_FORMS = "SELECT entity_id, name AS key FROM reference_entities UNION ALL SELECT entity_id, unnest(synonyms) FROM reference_entities UNION ALL SELECT entity_id, unnest(abbreviations) FROM reference_entities"
+_KEYS = f"SELECT DISTINCT entity_id, array_to_string(w, ' ') AS run, len(w) AS n FROM (SELECT entity_id, {_WORDS.format('key')} AS w FROM ({_FORMS})) WHERE len(w) > 0"
+# every run of words as long as some key
+_RUNS = f"SELECT paragraph_id, i AS pos, n AS n_words, array_to_string(w[i + 1:i + n], ' ') AS run FROM (SELECT paragraph_id, w, unnest(range(len(w))) AS i FROM (SELECT paragraph_id, {_WORDS.format('text')} AS w FROM paragraphs_v)), (SELECT DISTINCT n FROM k) WHERE i + n <= len(w)"
 _NAMES = "SELECT provenance.source_id AS paper_id, e.name AS name, e.id AS hint, CASE WHEN NOT isnan(confidence) THEN confidence END AS confidence FROM (SELECT provenance, unnest([subject, object]) AS e, confidence FROM extraction_edges) WHERE e.name IS NOT NULL AND provenance.source_id IS NOT NULL"
 _STOP = ", ".join(f"'{w}'" for w in X.EDGE_STOPWORDS)
 SQL = {
-    "c1_claims": with_views("paragraphs_v", sql=f""", s AS ({_SENT.format(where=_EN)}), m AS (SELECT *, {_FIRST} AS predicate FROM s), c AS (SELECT *, row_number() OVER (PARTITION BY paragraph_id ORDER BY no) - 1 AS k FROM m WHERE predicate IS NOT NULL)
+    "c1_claims": with_views("paragraphs_v", sql=f""", s AS ({_SENT}), m AS (SELECT *, {_FIRST} AS predicate FROM s), c AS (SELECT *, row_number() OVER (PARTITION BY paragraph_id ORDER BY no) - 1 AS k FROM m WHERE predicate IS NOT NULL)
 SELECT 'PLACEHOLDER_SUBJECT_' || paragraph_id || '_claim_' || k AS subject_id, predicate, CASE WHEN section IN ('results', 'abstract') THEN 0.8 WHEN section = 'methods' THEN 0.6 ELSE 0.7 END::DOUBLE AS confidence, paper_id, section, sentence AS text_span FROM c"""),
-    "c1_claims_as_read": with_views("paragraphs_v", sql=f", s AS ({_SENT.format(where=_EN)}), m AS (SELECT *, {_FIRST} AS predicate FROM s), c AS (SELECT *, lag(sentence) OVER (PARTITION BY paragraph_id ORDER BY no) AS last FROM m WHERE predicate IS NOT NULL) SELECT predicate, count(*) AS n FROM c WHERE predicate = 'causes' OR last IS NULL OR last <> sentence GROUP BY 1"),
-    "c1_sentences": with_views("paragraphs_v", sql=f", s AS ({_SENT.format(where='')}) SELECT paragraph_id, no, sentence FROM s"),
-    "c4_all_claims": with_views("paragraphs_v", sql=f", s AS ({_SENT.format(where=_EN)}) " + " UNION ALL ".join(f"SELECT paragraph_id, no, '{p}' AS predicate FROM s WHERE {_says(p)}" for p in X.CLAIM_PATTERNS)),
-    "c5_sample_sizes": with_views("paragraphs_v", sql=f"SELECT * FROM (SELECT paragraph_id, {_N} AS n FROM paragraphs_v {_EN}) WHERE n IS NOT NULL"),
-    "c6_rates": with_views("paragraphs_v", sql=f"SELECT * FROM (SELECT paragraph_id, round({_R}, 6) AS rate FROM paragraphs_v {_EN}) WHERE rate IS NOT NULL"),
-    "c7_p_values": with_views("paragraphs_v", sql=f"SELECT * FROM (SELECT paragraph_id, {_P} AS p FROM paragraphs_v {_EN}) WHERE p IS NOT NULL"),
+    "c1_claims_as_read": with_views("paragraphs_v", sql=f", s AS ({_SENT}), m AS (SELECT *, {_FIRST} AS predicate FROM s), c AS (SELECT *, lag(sentence) OVER (PARTITION BY paragraph_id ORDER BY no) AS last FROM m WHERE predicate IS NOT NULL) SELECT predicate, count(*) AS n FROM c WHERE predicate = 'causes' OR last IS NULL OR last <> sentence GROUP BY 1"),
+    "c1_sentences": with_views("paragraphs_v", sql=f", s AS ({_SENT}) SELECT paragraph_id, no, sentence FROM s"),
+    "c4_all_claims": with_views("paragraphs_v", sql=f", s AS ({_SENT}) " + " UNION ALL ".join(f"SELECT paragraph_id, no, '{p}' AS predicate FROM s WHERE {_says(p)}" for p in X.CLAIM_PATTERNS)),
+    "c5_sample_sizes": with_views("paragraphs_v", sql=f"SELECT * FROM (SELECT paragraph_id, {_N} AS n FROM {_PLAIN}) WHERE n IS NOT NULL"),
+    "c6_rates": with_views("paragraphs_v", sql=f"SELECT * FROM (SELECT paragraph_id, {_R} AS rate FROM {_PLAIN}) WHERE rate IS NOT NULL"),
+    "c7_p_values": with_views("paragraphs_v", sql=f"SELECT * FROM (SELECT paragraph_id, {_P} AS p FROM {_PLAIN}) WHERE p IS NOT NULL"),
     "c8_strengths": with_views("assertions_v", sql=f"SELECT paper_id, subject_id, sample_size, p_value, round({_strength('sample_size', 'p_value')}, 6) AS strength FROM assertions_v"),
-    "c9_evidence": with_views("paragraphs_v", sql=f", r AS (SELECT *, {_N} AS n, {_P} AS p, {_R} AS rate FROM paragraphs_v {_EN}) SELECT paragraph_id, paper_id, coalesce(section, 'results') AS section, n AS sample_size, p AS p_value, round({_strength('n', 'p')}, 6) AS confidence, substring(text, 1, 500) AS text_span FROM r WHERE coalesce(n <> 0, false) OR coalesce(p <> 0, false) OR coalesce(rate <> 0, false)"),
-    "c10_relationship_evidence": with_views("paper_rels_v", sql=f", paragraphs_r AS (SELECT DISTINCT concat_ws(':', paper_id, pos) AS paragraph_id, paper_id, section, evidence AS text FROM paper_rels_v WHERE evidence IS NOT NULL), r AS (SELECT *, {_N} AS n, {_P} AS p, {_R} AS rate FROM paragraphs_r) SELECT paragraph_id, paper_id, coalesce(section, 'results') AS section, n AS sample_size, p AS p_value, round({_strength('n', 'p')}, 6) AS confidence, substring(text, 1, 500) AS text_span FROM r WHERE coalesce(n <> 0, false) OR coalesce(p <> 0, false) OR coalesce(rate <> 0, false)"),
+    "c9_evidence": with_views("paragraphs_v", sql=f", r AS (SELECT *, {_N} AS n, {_P} AS p, {_R} AS rate FROM {_PLAIN}) SELECT paragraph_id, paper_id, coalesce(section, 'results') AS section, n AS sample_size, p AS p_value, round({_strength('n', 'p')}, 6) AS confidence, substring(text, 1, 500) AS text_span FROM r WHERE coalesce(n <> 0, false) OR coalesce(p <> 0, false) OR coalesce(rate <> 0, false)"),
+    "c10_relationship_evidence": with_views("paper_rels_v", sql=f", paragraphs_r AS (SELECT DISTINCT concat_ws(':', paper_id, pos) AS paragraph_id, paper_id, section, evidence AS text FROM paper_rels_v WHERE evidence IS NOT NULL), r AS (SELECT *, {_N} AS n, {_P} AS p, {_R} AS rate FROM (SELECT *, " + _ascii('text') + f" AS plain FROM paragraphs_r)) SELECT paragraph_id, paper_id, coalesce(section, 'results') AS section, n AS sample_size, p AS p_value, round({_strength('n', 'p')}, 6) AS confidence, substring(text, 1, 500) AS text_span FROM r WHERE coalesce(n <> 0, false) OR coalesce(p <> 0, false) OR coalesce(rate <> 0, false)"),
     "c11_clean_mentions": f"SELECT paper_id, n AS name, confidence FROM (SELECT *, regexp_replace(name, '^\\s+|\\s+$', '', 'g') AS n FROM ({_NAMES})) WHERE length(n) >= 3 AND NOT starts_with(n, '##') AND lower(n) NOT IN ({_STOP}) AND confidence >= 0.85::DOUBLE",
-    "c13_contexts": with_views("paragraphs_v", sql="SELECT paragraph_id, substring(text, greatest(p - 51, 0) + 1, p + 56 - greatest(p - 51, 0)) AS context FROM (SELECT paragraph_id, text, instr(text, 'disease') AS p FROM paragraphs_v) WHERE p > 0"),
+    "c13_contexts": with_views("paragraphs_v", sql=""", f AS (SELECT paragraph_id, text, string_split(text, 'disease') AS parts FROM paragraphs_v),
+p AS (SELECT paragraph_id, text, length(array_to_string(parts[1:i], 'disease')) AS place FROM (SELECT *, unnest(range(1, len(parts))) AS i FROM f))
+SELECT paragraph_id, substring(text, greatest(place - 50, 0) + 1, place + 57 - greatest(place - 50, 0)) AS context FROM p"""),
     "c14_listed_mentions": "SELECT paper_id, pos, e.name AS name, lower(e.type) AS type, e.id AS hint, 0.9::DOUBLE AS confidence FROM (SELECT paper_id, unnest(range(len(entities))) AS pos, unnest(entities) AS e FROM papers)",
-    "j14_paired_claims": with_views("paragraphs_v", sql=f""", s AS ({_SENT.format(where=_EN)}), c AS ({' UNION ALL '.join(f"SELECT paragraph_id, paper_id, no, sentence, '{p}' AS predicate FROM s WHERE {_says(p)}" for p in X.CLAIM_PATTERNS)}),
-k AS ({_KEYS}), r AS ({_RUNS}), m AS (SELECT DISTINCT paragraph_id, r.run, k.entity_id, e.name FROM r JOIN k USING (run) JOIN reference_entities e ON e.entity_id = k.entity_id),
-g AS (SELECT paragraph_id, no, predicate, list_sort(list(DISTINCT entity_id)) AS ids FROM c JOIN m USING (paragraph_id) WHERE contains(lower(sentence), lower(name)) GROUP BY 1, 2, 3)
+    "j14_paired_claims": with_views("paragraphs_v", sql=f""", s AS ({_SENT}), c AS ({' UNION ALL '.join(f"SELECT paragraph_id, paper_id, no, sentence, '{p}' AS predicate FROM s WHERE {_says(p)}" for p in X.CLAIM_PATTERNS)}),
+k AS ({_KEYS}), r AS ({_RUNS}), f AS (SELECT DISTINCT entity_id, lower(key) AS key FROM ({_FORMS}) WHERE regexp_matches(key, '[\\p{{L}}\\p{{N}}\\-]')),
+m AS (SELECT DISTINCT paragraph_id, entity_id FROM r JOIN k USING (run)),
+g AS (SELECT paragraph_id, no, predicate, list_sort(list(DISTINCT entity_id)) AS ids FROM c JOIN m USING (paragraph_id) JOIN f USING (entity_id) WHERE contains(lower(sentence), f.key) GROUP BY 1, 2, 3)
 SELECT paragraph_id, no, predicate, ids[1] AS subject_id, ids[2] AS object_id FROM g WHERE len(ids) > 1"""),
     "k2_slices": with_views("paragraphs_v", sql="SELECT paragraph_id, no, substring(text, no * 512 + 1, 512) AS slice FROM (SELECT paragraph_id, text, unnest(range(((length(text) + 511) / 512)::INT)) AS no FROM (SELECT paragraph_id, text FROM paragraphs_v WHERE length(text) > 0)) WHERE no * 512 < length(text)"),
     "e1_dictionary_mentions": with_views("paragraphs_v", sql=f", k AS ({_KEYS}), r AS ({_RUNS}) SELECT paragraph_id, pos, n_words, entity_id FROM r JOIN k USING (run)"),
