@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -48,15 +50,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once in the shared checkpoint folder and cut its lineage.
-
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset
-    (tests, a laptop) a folder of this process is used. The copy survives the loss of executors.
-    """
-    spark = ship(df.sparkSession)
+def scratch(spark: SparkSession) -> str:
+    """The shared folder for what is cut off its lineage or written between two steps: the one the cluster names in
+    ``spark.checkpoint.dir``. Only a local session without one gets a folder of its process, which goes with it; a cluster
+    without one is an error, as its machines do not share theirs."""
     sc = spark.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="biblioscope-checkpoint-"))
+    held = sc._jsc.sc().getCheckpointDir()
+    if held.isDefined():
+        return held.get()
+    named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if named is None:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that all machines share")
+        named = tempfile.mkdtemp(prefix="biblioscope-checkpoint-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
+    sc.setCheckpointDir(named)
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` once in the shared folder and cut its lineage. The copy survives the loss of executors."""
+    scratch(ship(df.sparkSession))
     return df.checkpoint(eager=True)

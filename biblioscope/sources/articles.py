@@ -5,9 +5,10 @@ from __future__ import annotations
 import re
 import xml.etree.ElementTree as ET
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -80,6 +81,40 @@ def read_article(uri: str, content: bytes) -> dict | None:
     }
 
 
+def read_strict(uri: str, content: bytes) -> dict:
+    """One article as a document for which every fault is an error: ValueError for markup that cannot be read, or has no
+    article. The id is the stored one, else the first 'PMC' with digits in the uri, else 'unknown'."""
+    found = read_article(uri, content)
+    if found is None:
+        raise ValueError(f"no article in {uri}")
+    if found["paper_id"] == uri.rsplit("/", 1)[-1].rsplit(".", 1)[0]:
+        in_uri = re.search(r"PMC\d+", uri)
+        found["paper_id"] = in_uri[0] if in_uri else "unknown"
+    return found
+
+
+def file_faults(files: DataFrame) -> DataFrame:
+    """(uri, fault) of every file that is no article: 'missing' without content, 'suffix' for another ending than .xml,
+    'markup' where it cannot be parsed, 'article' where none is in it. The first that holds; sound files give no row."""
+
+    @F.pandas_udf("string")
+    def fault(uris: pd.Series, contents: pd.Series) -> pd.Series:
+        def one(uri: str | None, content: bytes | None) -> str | None:
+            if content is None:
+                return "missing"
+            if not (uri or "").endswith(".xml"):
+                return "suffix"
+            try:
+                root = ET.fromstring(bytes(content))
+            except ET.ParseError:
+                return "markup"
+            return None if root.find(".//article") is not None else "article"
+
+        return pd.Series([one(u, c) for u, c in zip(uris, contents)], dtype=object)
+
+    return files.select("uri", fault("uri", "content").alias("fault")).where("fault IS NOT NULL")
+
+
 def parse_articles(files: DataFrame, reader: Callable[[str, bytes], dict | None] = read_article, keep_failed: bool = False) -> DataFrame:
     """Articles of a DataFrame (uri, content); ``reader`` is exchangeable. What fails is dropped, or kept with a
     null paper_id. The standard parser runs per file, as SQL's xpath functions stop a whole job at bad markup."""
@@ -121,6 +156,16 @@ def to_fetch(wanted: DataFrame, held: DataFrame) -> DataFrame:
     return wanted.join(held.select("paper_id").distinct(), "paper_id", "left_anti")
 
 
+def fetch_counts(wanted: DataFrame, held: DataFrame, fetched: DataFrame) -> DataFrame:
+    """One row (ok, failed, skipped) of a download: ids that were held already are skipped, of the others those that came
+    as a sound article are ok."""
+    skipped = wanted.join(held.select("paper_id").distinct(), "paper_id", "left_semi").agg(F.count("*").alias("skipped"))
+    bad = F.col("fault").isNotNull()
+    tried = fetched.select("uri").join(file_faults(fetched), "uri", "left").agg(F.count_if(~bad).alias("ok"), F.count_if(bad).alias("failed"))
+    one = F.lit(1).alias("_one")
+    return tried.select("*", one).join(skipped.select("*", one), "_one").select("ok", "failed", "skipped")
+
+
 def fetch(ids: DataFrame, load: Callable[[str], bytes | None]) -> DataFrame:
     """(uri, content) of every id by an exchangeable loader; what it cannot find has a null content."""
 
@@ -142,6 +187,36 @@ def documents_of(papers: DataFrame, strict: bool = False) -> DataFrame:
     return papers.select(key.alias("document_id"), "title", text.alias("content")).where("document_id IS NOT NULL")
 
 
+def run_struct(run: dict[str, dict[str, str | None]]) -> Column:
+    """What is known of a run (its pipeline, model and execution) as a struct of constants. Nothing is read from the
+    machine or the clock: the caller says it."""
+    return F.struct(*[F.struct(*[F.lit(v).cast("string").alias(k) for k, v in part.items()]).alias(name) for name, part in run.items()])
+
+
+def edge_lines(edges: DataFrame) -> DataFrame:
+    """(value): one JSON line for each extraction edge, with all its fields; absent ones as null."""
+    return edges.select(F.to_json(F.struct(*edges.columns), {"ignoreNullFields": "false"}).alias("value"))
+
+
+def entity_lines(entities: DataFrame, run: dict[str, dict[str, str | None]] | None = None) -> DataFrame:
+    """(value): one JSON line for each entity: id, name, type, synonyms (empty if there are none) and the provenance, of
+    ``run`` if given, else the entity's own."""
+    provenance = F.col("provenance") if run is None else run_struct(run)
+    fields = F.struct("entity_id", "name", "type", F.coalesce("synonyms", F.array().cast("array<string>")).alias("synonyms"), provenance.alias("provenance"))
+    return entities.select(F.to_json(fields, {"ignoreNullFields": "false"}).alias("value"))
+
+
+def paper_lines(papers: DataFrame, run: dict[str, dict[str, str | None]] | None = None) -> DataFrame:
+    """(value): one JSON line for each paper with all its fields; with ``run`` its extraction provenance is that of the run."""
+    rows = papers if run is None else papers.withColumn("extraction_provenance", run_struct(run))
+    return rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value"))
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """A directory of text files; a job that fails leaves no success marker."""
+    lines.select("value").write.mode("overwrite").text(path)
+
+
 def write_entities(entities: DataFrame, path: str) -> None:
     """One JSON line for each entity: its type, and its fields under ``data``."""
     entities.select(F.col("type"), F.struct(*entities.columns).alias("data")).write.mode("overwrite").json(path)
@@ -167,27 +242,9 @@ def write_bundle(path: str, papers: DataFrame, entities: DataFrame, relationship
     manifest.coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """A new version of a table beside the old ones; readers take the last version that is whole.
-
-    The version's folder gets its success marker only when all tasks have been committed, so a job that fails
-    leaves the table as it was."""
-    spark = df.sparkSession
-    versions = [int(v) for v in _versions(spark, path)]
-    df.write.mode("errorifexists").parquet(f"{path}/v={max(versions, default=0) + 1}")
-
-
-def _versions(spark: SparkSession, path: str) -> list[str]:
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-    return [s.getPath().getName()[2:] for s in fs.listStatus(folder) if s.getPath().getName().startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/v={max(int(v) for v in _versions(spark, path))}")
+class _Files(InputPartition):
+    def __init__(self, files: list[str]):
+        self.files = files
 
 
 class _ArticleReader(DataSourceReader):
@@ -195,14 +252,13 @@ class _ArticleReader(DataSourceReader):
         self.path, self.parts = options["path"], int(options.get("partitions", 8))
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(i) for i in range(self.parts)]
+        """The folder is listed once, here; a partition has the names of its files."""
+        files = sorted(str(f) for f in Path(self.path).rglob("*.xml"))
+        return [_Files(files[i :: self.parts]) for i in range(min(self.parts, max(1, len(files))))]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        import zlib
-        from pathlib import Path
-
-        for file in sorted(Path(self.path).rglob("*.xml")):
-            if zlib.crc32(str(file).encode()) % self.parts == partition.value and (row := read_article(str(file), file.read_bytes())):
+        for file in partition.files:
+            if row := read_article(file, Path(file).read_bytes()):
                 yield (row["uri"], row["paper_id"], row["title"], row["abstract"])
 
 

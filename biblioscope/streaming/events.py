@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from biblioscope.session import scratch
+
 
 def event_stream(spark: SparkSession, path: str, pattern: str = "events.parquet", files_at_once: int = 1) -> DataFrame:
     """The events of the files that come to a folder."""
@@ -29,3 +32,20 @@ def run_to_end(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, in
     """Works off what the source holds now, batch by batch, and stops. A batch that is run again has its number."""
     query = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(each).trigger(availableNow=True).start()
     query.awaitTermination()
+
+
+def streamed_table(stream: DataFrame, keys: list[str]) -> DataFrame:
+    """What a stream of updates has given when its source is worked off: the last row of each key.
+
+    Each batch is written to a folder of its own number in the shared folder, so a batch that is run again after a loss
+    replaces itself; of the rows of a key the one of the last batch holds."""
+    folder = f"{scratch(stream.sparkSession)}/stream-{uuid4()}"
+
+    def each(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/rows/batch={number}")
+
+    run_to_end(stream, f"{folder}/offsets", each)
+    rows = stream.sparkSession.read.parquet(f"{folder}/rows")
+    rest = [c for c in rows.columns if c not in (*keys, "batch")]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r"))
+    return last.select(*keys, *[F.col(f"r.{c}").alias(c) for c in rest])

@@ -76,11 +76,28 @@ def test_bundle_and_entity_lines(spark, tmp_path):
     assert sorted((x.entity_id, x.name) for x in A.read_entities(spark, lines, "entity_id string, type string, name string").collect()) == [("C1", "old"), ("C2", "g")]
 
 
-def test_table_versions_survive_a_failed_write(spark, tmp_path):
-    path = str(tmp_path / "t")
-    A.replace_table(spark.range(3), path)
-    A.replace_table(A.read_table(spark, path).where("id > 0"), path)
-    assert A.read_table(spark, path).count() == 2
-    with pytest.raises(Exception):
-        A.replace_table(spark.range(3).select(F.raise_error(F.lit("no")).alias("id")), path)
-    assert A.read_table(spark, path).count() == 2
+def test_faults_counts_and_the_strict_reader(spark):
+    good = b"<r><article><front><article-meta><title-group><article-title>T</article-title></title-group></article-meta></front></article></r>"
+    rows = [("/a.xml", good), ("/b.xml", None), ("/c.txt", good), ("/d.xml", b"<r><article>"), ("/e.xml", b"<r/>")]
+    files = spark.createDataFrame(rows, "uri string, content binary")
+    assert {r.uri: r.fault for r in A.file_faults(files).collect()} == {"/b.xml": "missing", "/c.txt": "suffix", "/d.xml": "markup", "/e.xml": "article"}
+    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "paper_id string")
+    assert tuple(A.fetch_counts(ids("1", "2", "3"), ids("3", "9"), files.limit(2)).first()) == (1, 1, 1)
+    assert A.file_faults(files.limit(0)).count() == 0
+    assert A.read_strict("/x/PMC77_v2.xml", good)["paper_id"] == "PMC77" and A.read_strict("/x/y.xml", good)["paper_id"] == "unknown"
+    for bad in (b"<r><article>", b"<r/>"):
+        with pytest.raises(ValueError):
+            A.read_strict("/x.xml", bad)
+
+
+def test_lines_carry_the_run(spark, tmp_path):
+    import json
+
+    e = spark.createDataFrame([("C1", "n", "t", None, ("old",)), ("C2", None, "t", ["s"], None)], "entity_id string, name string, type string, synonyms array<string>, provenance struct<pipeline: string>")
+    run = {"pipeline_info": {"name": "p", "version": None}}
+    got = {x["entity_id"]: x for x in (json.loads(r.value) for r in A.entity_lines(e, run).collect())}
+    assert got["C1"]["synonyms"] == [] and got["C1"]["name"] == "n" and got["C2"]["name"] is None and got["C2"]["provenance"] == {"pipeline_info": {"name": "p", "version": None}}
+    assert json.loads(A.entity_lines(e).where("value LIKE '%C1%'").first().value)["provenance"] == {"pipeline": "old"}
+    A.write_lines(A.paper_lines(e, run), str(tmp_path / "papers"))
+    assert spark.read.text(str(tmp_path / "papers")).count() == 2
+    assert A.edge_lines(e.limit(0)).count() == 0
