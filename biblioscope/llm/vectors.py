@@ -29,9 +29,9 @@ SUB = 16
 CELL_ROWS = 250_000
 #: Rows of a space that the rotation is learned from, about (those with a low hash); the index holds every row.
 FIT_ROWS = 20_000
-#: Words of 64 bits in a code, and bits in which two codes may differ in each on average: about four standard deviations
+#: Words of 64 bits in a code, and bits in which two codes may differ for each on average: in all three standard deviations
 #: more than vectors of cosine 0.90 differ in. Pairs beyond are not ranked by their floats.
-WORDS, MOST_BITS = 3, 16
+WORDS, MOST_BITS = 3, 14
 #: Candidates up to this number are joined as a broadcast (16 bytes each).
 BROADCAST_ROWS = 500_000
 
