@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -180,6 +182,44 @@ def packed(paragraph_texts: Column, size: int = 8000) -> Column:
     return F.aggregate(paragraph_texts, start, step, lambda acc: F.when(acc["open"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["open"]))))
 
 
+def packed_chunks(paragraphs: DataFrame, size: int = 8000) -> DataFrame:
+    """(paper_id, no, text) of (paper_id, paragraph_id, text): each paper's paragraphs packed in the order of their ids.
+
+    Only lengths are put in order, and read as a stream that carries the length of the open chunk; the texts meet by
+    chunk, so a paper of any size is never one row. Rows without paper or text are left out. The joining blank line counts 2."""
+    fine = paragraphs.where("paper_id IS NOT NULL AND text IS NOT NULL")
+    ordered = fine.select("paper_id", "paragraph_id", F.length("text").alias("n")).repartition("paper_id").sortWithinPartitions("paper_id", "paragraph_id")
+
+    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        paper, no, length, begun = None, 0, 0, False
+        for batch in batches:
+            out = []
+            for p, n in zip(batch["paper_id"], batch["n"]):
+                if p != paper:
+                    paper, no, length, begun = p, 0, 0, False
+                if begun and length + n > size:
+                    no, length = no + 1, n
+                else:
+                    length += n + 2
+                begun = True
+                out.append(no)
+            yield pd.DataFrame({"paper_id": batch["paper_id"], "paragraph_id": batch["paragraph_id"], "no": out})
+
+    numbered = ordered.mapInPandas(number, "paper_id string, paragraph_id string, no bigint")
+    parts = fine.select("paper_id", "paragraph_id", "text").join(numbered, ["paper_id", "paragraph_id"]).groupBy("paper_id", "no").agg(F.array_sort(F.collect_list(F.struct("paragraph_id", "text"))).alias("p"))
+    return parts.select("paper_id", "no", F.array_join(F.transform("p", lambda x: x["text"]), "\n\n").alias("text"))
+
+
+def with_found_evidence(triples: DataFrame) -> DataFrame:
+    """Triples (their three parts, ``evidence`` as texts, ``items`` of evidence) with what their first text gives
+    appended to ``items``: (sample_size, p_value, confidence, text_span). One row for each triple, as an upsert."""
+    first = triples.withColumn("text", F.get("evidence", F.lit(0)))
+    read = first.withColumn("sample_size", T.sample_size(F.col("text"))).withColumn("p_value", T.p_value(F.col("text"))).withColumn("rate", T.percentage(F.col("text")))
+    some = reduce(lambda a, b: a | b, (F.coalesce(F.col(c) != 0, F.lit(False)) for c in ("sample_size", "p_value", "rate")))
+    item = F.struct("sample_size", "p_value", F.round(T.evidence_strength(F.col("sample_size"), F.col("p_value")), 6).alias("confidence"), F.substring("text", 1, 500).alias("text_span"))
+    return read.withColumn("items", F.when(some, F.concat("items", F.array(item))).otherwise(F.col("items"))).drop("text", "sample_size", "p_value", "rate")
+
+
 def slices(text: Column, size: int) -> Column:
     """A text in pieces of ``size`` characters."""
     return F.when(F.length(text) == 0, F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(0), F.floor((F.length(text) - 1) / size).cast("int")), lambda i: F.substring(text, i * size + 1, F.lit(size))))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from biblioscope.operators.lookup import name_search
+from biblioscope.session import cut
 
 TRIPLE = ["subject_id", "predicate", "object_id"]
 
@@ -73,20 +74,17 @@ def traverse(relationships: DataFrame, entities: DataFrame, start: str, steps: l
 
 
 def reachable(relationships: DataFrame, start: str, most_hops: int) -> DataFrame:
-    """(path, end, hops): every path without a cycle from an entity, up to a number of hops, by recursive SQL."""
-    relationships.where("predicate IS NOT NULL").select("subject_id", "object_id").distinct().createOrReplaceTempView("_reachable_edges")
-    return relationships.sparkSession.sql(
-        """
-        WITH RECURSIVE walk(path, last, hops) AS (
-          SELECT array(object_id_start), object_id_start, 0 FROM (SELECT CAST(:start AS STRING) AS object_id_start)
-          UNION ALL
-          SELECT concat(w.path, array(e.object_id)), e.object_id, w.hops + 1
-          FROM walk w JOIN _reachable_edges e ON e.subject_id = w.last
-          WHERE w.hops < :most AND NOT array_contains(w.path, e.object_id)
-        ) SELECT path, last AS end, hops FROM walk WHERE hops > 0
-        """,
-        args={"start": start, "most": most_hops},
-    )
+    """(path, end, hops): every path without a cycle from an entity, up to a number of hops; one join a hop."""
+    edges = cut(relationships.where("predicate IS NOT NULL").select(F.col("subject_id").alias("end"), F.col("object_id").alias("next")).distinct())
+    at = relationships.sparkSession.createDataFrame([(start, [start])], "end string, path array<string>")
+    found = None
+    for hop in range(1, most_hops + 1):
+        at = edges.join(at, "end").where(~F.array_contains("path", F.col("next"))).select(F.col("next").alias("end"), F.concat("path", F.array("next")).alias("path"))
+        if hop < most_hops:
+            at = cut(at)
+        rows = at.select("path", "end", F.lit(hop).alias("hops"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
 
 
 def resolved_only(relationships: DataFrame, entities: DataFrame) -> DataFrame:
@@ -115,14 +113,18 @@ def contradictions(relationships: DataFrame, positive: str, negative: str) -> Da
     ).where("n_for IS NOT NULL AND n_against IS NOT NULL")
 
 
-def audit(claims: DataFrame, edges: DataFrame) -> DataFrame:
-    """Claims (paper_id and triple) with the extraction edges of their paper: how many, and the best confidence.
+def audit(claims: DataFrame, evidence: DataFrame, edges: DataFrame) -> DataFrame:
+    """Claims (paper_id, pos, triple) followed to their evidence and on to the extraction edges they rest on.
 
-    Edges are added up by paper before they meet the claims, so a paper with many edges is one row."""
+    ``evidence`` is (paper_id, pos, sample_size, p_value, confidence), of which a claim may have none. Edges belong to a claim by
+    its paper and both ends; they are added up before they meet the claims, so a paper with many edges is few rows."""
     c = F.col("confidence")
     sure = F.when(~F.isnan(c) & c.between(0, 1), c)
-    by_paper = edges.groupBy(F.col("provenance.source_id").alias("paper_id")).agg(F.count_distinct("id").alias("n_edges"), F.max(sure).alias("best_edge"))
-    return claims.join(by_paper, "paper_id")
+    ends = [F.col("provenance.source_id").alias("paper_id"), F.col("subject.id").alias("subject_id"), F.col("object.id").alias("object_id")]
+    by_ends = edges.groupBy(*ends).agg(F.count_distinct("id").alias("n_edges"), F.max(sure).alias("best_edge"))
+    items = evidence.select("paper_id", "pos", "sample_size", "p_value", F.col("confidence").alias("strength"))
+    traced = claims.join(items, ["paper_id", "pos"], "left").join(by_ends, ["paper_id", "subject_id", "object_id"], "left")
+    return traced.withColumn("n_edges", F.coalesce("n_edges", F.lit(0)).cast("long"))
 
 
 def repurposing(relationships: DataFrame) -> DataFrame:

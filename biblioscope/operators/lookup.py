@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+import time
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -85,7 +89,8 @@ def page(df: DataFrame, order: list, limit: int | None, offset: int = 0) -> Data
 class GraphQuery:
     """A query under construction; every method gives a new one, ``frame`` the DataFrame.
 
-    ``tables`` holds the DataFrames entities, relationships and, for evidence, evidence.
+    ``tables`` holds the DataFrames entities, relationships and, for evidence, evidence; for a semantic search vectors
+    (id, embedding), and ``embed``, a function from a text to its vector, where texts are asked for.
     """
 
     tables: dict
@@ -107,6 +112,11 @@ class GraphQuery:
         """Steps are 'PREDICATE:type' or 'PREDICATE'."""
         return replace(self, kind="traverse", part=(("start", start),), path=tuple(path))
 
+    def semantic_search(self, query: str | list[float], entity_type: str | None = None, k: int = 10, threshold: float | None = 0.7) -> "GraphQuery":
+        """Entities by similarity to a vector, or to a text if the tables have ``embed``."""
+        vector = self.tables["embed"](query) if isinstance(query, str) else query
+        return replace(self, kind="semantic", part=(("entity_type", entity_type), ("query", list(vector)), ("k", k), ("threshold", threshold)))
+
     def filter(self, **wanted: object) -> "GraphQuery":
         return replace(self, wanted=tuple({**dict(self.wanted), **wanted}.items()))
 
@@ -130,9 +140,60 @@ class GraphQuery:
             from biblioscope.operators.joins import traverse
 
             df, keys = traverse(self.tables["relationships"], self.tables["entities"], dict(self.part)["start"], list(self.path)), ["path"]
+        elif self.kind == "semantic":
+            from biblioscope.operators.similarity import nearest
+
+            part = dict(self.part)
+            wanted = {**({"entity_type": part["entity_type"]} if part["entity_type"] else {}), **dict(self.wanted)}
+            vectors = self.tables["vectors"]
+            if wanted:
+                keep = matching(self.tables["entities"], **wanted).select(F.col("entity_id").alias("id")).distinct()
+                vectors = vectors.join(keep, "id", "left_semi")
+            df = nearest(vectors, part["query"], part["k"], part["threshold"]).withColumnRenamed("id", "entity_id")
+            return df if self.most is None else df.limit(self.most)
         else:
-            raise ValueError("no entities, relationships or traversal were asked for")
+            raise ValueError("no entities, relationships, traversal or search were asked for")
         if self.order or self.most is not None:
             first = [F.desc(self.order[0]) if self.order[1] else F.asc(self.order[0])] if self.order else []
             df = df.orderBy(*first, *keys)
         return df if self.most is None else df.limit(self.most)
+
+    def to_sql(self) -> str:
+        """How the query will be run, as text; nothing is run."""
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            self.frame().explain("formatted")
+        return text.getvalue()
+
+    def execute(self) -> "GraphResult":
+        return GraphResult(self.frame(), self.to_sql())
+
+
+class GraphResult:
+    """The result of a query: a DataFrame that is run when its rows or their number are asked for."""
+
+    def __init__(self, frame: DataFrame, plan: str):
+        self._frame, self.query_sql = frame, plan
+        self._count: int | None = None
+        self.query_time_ms: float | None = None
+
+    @property
+    def count(self) -> int:
+        """The number of rows, counted once; the time it took is ``query_time_ms``."""
+        if self._count is None:
+            began = time.perf_counter()
+            self._count = self._frame.count()
+            self.query_time_ms = (time.perf_counter() - began) * 1000
+        return self._count
+
+    @property
+    def results(self) -> Iterator[dict]:
+        """The rows one by one; they come to the driver by partitions, not as a whole."""
+        return (r.asDict(recursive=True) for r in self._frame.toLocalIterator())
+
+    def to_dataframe(self) -> DataFrame:
+        return self._frame
+
+    def to_json(self) -> DataFrame:
+        """(value): one JSON text for each row."""
+        return self._frame.select(F.to_json(F.struct("*")).alias("value"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from biblioscope.operators import joins, lookup
-from biblioscope.operators.extraction import first_mentions
-from biblioscope.plans import graph
+from biblioscope.operators.extraction import DOCUMENT_STOPWORDS, clean_mentions, evidence, first_mentions
+from biblioscope.plans import graph, texts
 from biblioscope.plans.graph import with_views
 from biblioscope.session import table
 
@@ -21,9 +21,18 @@ def _mentions(s, d):
 
 
 def _audit(s, d):
-    """Claims of papers back to the edges extracted from the same paper."""
-    claims = graph.paper_relationships(s, d).select("paper_id", *TRIPLE).distinct()
-    return joins.audit(claims, table(s, d, "extraction_edges"))
+    """Claims of papers to the evidence read from their texts and to the edges of the same paper and ends."""
+    claims = graph.paper_relationships(s, d).select("paper_id", "pos", *TRIPLE, "evidence", "section").distinct()
+    texts = claims.where("evidence IS NOT NULL").groupBy("paper_id", "pos").agg(F.max("evidence").alias("text"), F.max("section").alias("section"))
+    read = evidence(texts.withColumn("paragraph_id", F.col("pos"))).withColumnRenamed("paragraph_id", "pos")
+    return joins.audit(claims.select("paper_id", "pos", *TRIPLE).distinct(), read, table(s, d, "extraction_edges"))
+
+
+def _document_mentions(s, d):
+    """Mentions under the rules for documents, the first of each name in a paper."""
+    m = graph.edge_mentions(s, d).where("surface IS NOT NULL").groupBy("paper_id", F.col("surface").alias("name")).agg(F.min("entity_id").alias("entity_id"), F.max(F.when(~F.isnan("confidence"), F.col("confidence"))).alias("confidence"))
+    clean = clean_mentions(m, 0.5, DOCUMENT_STOPWORDS)
+    return first_mentions(clean.withColumn("pos", F.struct("name", "entity_id"))).select("paper_id", "name", "entity_id")
 
 
 QUERIES = {
@@ -43,7 +52,7 @@ QUERIES = {
     "j17_audit": _audit,
     "j18_mechanism_paths": lambda s, d: joins.reachable(graph.relationships(s, d), "DRUG:4", 2).select(F.array_join("path", ">").alias("path"), "end", F.col("hops").cast("long").alias("hops")),
     "j18_repurposing": lambda s, d: joins.repurposing(graph.relationships(s, d)),
-    "c12_first_mentions": lambda s, d: first_mentions(graph.edge_mentions(s, d).where("surface IS NOT NULL").groupBy("paper_id", F.col("surface").alias("name")).agg(F.min("entity_id").alias("entity_id")).withColumn("pos", F.col("name"))).select("paper_id", "name", "entity_id"),
+    "c12_first_mentions": _document_mentions,
 }
 
 
@@ -82,10 +91,15 @@ SELECT array_to_string(path, '>') AS path, last AS "end", hops FROM walk WHERE h
     "j12_orphans": with_views("edge_mentions_v", sql="SELECT DISTINCT upper(trim(entity_id)) AS entity_id FROM edge_mentions_v WHERE upper(trim(entity_id)) NOT IN (SELECT upper(entity_id) FROM reference_entities UNION ALL SELECT upper(entity_id) FROM entities WHERE entity_id IS NOT NULL)"),
     "j13_name_lookup": "WITH x AS (SELECT lower(name) AS key, entity_id FROM reference_entities UNION ALL SELECT lower(unnest(synonyms)), entity_id FROM reference_entities UNION ALL SELECT lower(unnest(abbreviations)), entity_id FROM reference_entities), one AS (SELECT key, max(entity_id) AS entity_id FROM x GROUP BY 1) SELECT n.name, one.entity_id FROM (SELECT DISTINCT name FROM entities WHERE name IS NOT NULL) n LEFT JOIN one ON lower(n.name) = one.key",
     "j16_contradictions": with_views("relationships_v", sql="SELECT a.subject_id, a.object_id, a.evidence_count AS n_for, b.evidence_count AS n_against, a.confidence AS confidence_for, b.confidence AS confidence_against FROM relationships_v a JOIN relationships_v b ON a.subject_id = b.subject_id AND a.object_id = b.object_id WHERE a.predicate = 'treats' AND b.predicate = 'contraindicated_for'"),
-    "j17_audit": with_views("paper_rels_v", sql="SELECT r.*, e.n_edges, e.best_edge FROM (SELECT DISTINCT paper_id, subject_id, predicate, object_id FROM paper_rels_v) r JOIN (SELECT provenance.source_id AS paper_id, count(DISTINCT id) AS n_edges, max(CASE WHEN NOT isnan(confidence) AND confidence BETWEEN 0 AND 1 THEN confidence END) AS best_edge FROM extraction_edges GROUP BY 1) e USING (paper_id)"),
+    "j17_audit": with_views("paper_rels_v", sql=texts.evidence_sql("(SELECT paper_id, pos AS paragraph_id, max(evidence) AS text, max(section) AS section FROM paper_rels_v WHERE evidence IS NOT NULL GROUP BY 1, 2)") + """, e AS (SELECT provenance.source_id AS paper_id, subject.id AS subject_id, object.id AS object_id, count(DISTINCT id) AS n_edges, max(CASE WHEN NOT isnan(confidence) AND confidence BETWEEN 0 AND 1 THEN confidence END) AS best_edge FROM extraction_edges GROUP BY 1, 2, 3)
+SELECT c.paper_id, c.pos, c.subject_id, c.predicate, c.object_id, v.sample_size, v.p_value, v.confidence AS strength, coalesce(n_edges, 0) AS n_edges, best_edge FROM (SELECT DISTINCT paper_id, pos, subject_id, predicate, object_id FROM paper_rels_v) c
+LEFT JOIN found v ON v.paper_id = c.paper_id AND v.paragraph_id = c.pos LEFT JOIN e ON e.paper_id = c.paper_id AND e.subject_id = c.subject_id AND e.object_id = c.object_id"""),
     "j18_mechanism_paths": with_views("relationships_v", sql="""
 , e AS (SELECT DISTINCT subject_id, object_id FROM relationships_v WHERE predicate IS NOT NULL), one AS (SELECT object_id AS last FROM e WHERE subject_id = 'DRUG:4' AND object_id <> 'DRUG:4')
 SELECT 'DRUG:4>' || last AS path, last AS "end", 1::BIGINT AS hops FROM one UNION ALL SELECT 'DRUG:4>' || one.last || '>' || e.object_id, e.object_id, 2::BIGINT FROM one JOIN e ON e.subject_id = one.last WHERE e.object_id NOT IN ('DRUG:4', one.last)"""),
     "j18_repurposing": with_views("relationships_v", sql="SELECT l.subject_id AS drug, l.object_id AS disease, t.shared FROM relationships_v l JOIN (SELECT object_id AS drug, count(DISTINCT subject_id) AS shared FROM relationships_v WHERE predicate = 'binds_to' GROUP BY 1) t ON t.drug = l.subject_id WHERE l.predicate = 'associated_with' AND NOT EXISTS (SELECT 1 FROM relationships_v x WHERE x.predicate = 'treats' AND x.subject_id = l.subject_id AND x.object_id = l.object_id)"),
-    "c12_first_mentions": with_views("edge_mentions_v", sql="SELECT paper_id, name, entity_id FROM (SELECT paper_id, surface AS name, min(entity_id) AS entity_id FROM edge_mentions_v WHERE surface IS NOT NULL GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY paper_id, lower(name) ORDER BY name) = 1"),
+    "c12_first_mentions": with_views("edge_mentions_v", sql=f"""
+, m AS (SELECT paper_id, surface, min(entity_id) AS entity_id, max(CASE WHEN NOT isnan(confidence) THEN confidence END) AS confidence FROM edge_mentions_v WHERE surface IS NOT NULL GROUP BY 1, 2),
+c AS (SELECT paper_id, regexp_replace(surface, '^\\s+|\\s+$', '', 'g') AS name, entity_id FROM m WHERE confidence >= 0.5::DOUBLE)
+SELECT paper_id, name, entity_id FROM c WHERE length(name) >= 3 AND NOT starts_with(name, '##') AND lower(name) NOT IN ({', '.join(repr(w) for w in DOCUMENT_STOPWORDS)}) QUALIFY row_number() OVER (PARTITION BY paper_id, lower(name) ORDER BY name, entity_id) = 1"""),
 }

@@ -42,9 +42,17 @@ def _named(s, d):
 
 def _chunks(s, d):
     """Paragraphs of each paper packed in order to chunks of 2000 characters; lengths of the chunks."""
-    listed = _paragraphs(s, d).where("paper_id IS NOT NULL").groupBy("paper_id").agg(F.array_sort(F.collect_list(F.struct("paragraph_id", "text"))).alias("p"))
-    chunks = listed.select("paper_id", F.posexplode(X.packed(F.transform("p", lambda x: x["text"]), 2000)).alias("no", "chunk"))
-    return chunks.select("paper_id", F.col("no").cast("long").alias("no"), F.length("chunk").cast("long").alias("n_chars"), F.md5("chunk").alias("digest"))
+    chunks = X.packed_chunks(_paragraphs(s, d), 2000)
+    return chunks.select("paper_id", "no", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("digest"))
+
+
+def _found_evidence(s, d):
+    """Triples of papers with all their texts in order; what the first one gives is appended to their evidence."""
+    r = graph.paper_relationships(s, d).where("evidence IS NOT NULL").select("subject_id", "predicate", "object_id", F.struct("paper_id", "pos", "evidence").alias("e"))
+    triples = r.groupBy("subject_id", "predicate", "object_id").agg(F.transform(F.array_sort(F.collect_set("e")), lambda x: x["evidence"]).alias("evidence"))
+    none = F.array().cast("array<struct<sample_size:bigint,p_value:double,confidence:double,text_span:string>>")
+    found = X.with_found_evidence(triples.withColumn("items", none))
+    return found.select("subject_id", "predicate", "object_id", F.size("evidence").cast("long").alias("n_texts"), F.size("items").cast("long").alias("n_items"), F.get("items", F.lit(0)).alias("i")).select("subject_id", "predicate", "object_id", "n_texts", "n_items", "i.sample_size", "i.p_value", "i.confidence", "i.text_span")
 
 
 def _claims(s, d):
@@ -62,6 +70,7 @@ QUERIES = {
     "c8_strengths": lambda s, d: graph.assertions(s, d).select("paper_id", "subject_id", "sample_size", "p_value", F.round(T.evidence_strength(F.col("sample_size"), F.col("p_value")), 6).alias("strength")),
     "c9_evidence": lambda s, d: X.evidence(_paragraphs(s, d)),
     "c10_relationship_evidence": lambda s, d: X.evidence(graph.paper_relationships(s, d).where("evidence IS NOT NULL").select(F.concat_ws(":", "paper_id", "pos").alias("paragraph_id"), "paper_id", "section", F.col("evidence").alias("text")).distinct()),
+    "c10_upserted_evidence": _found_evidence,
     "c11_clean_mentions": lambda s, d: X.clean_mentions(_edge_names(s, d)).select("paper_id", "name", "confidence"),
     "c13_contexts": lambda s, d: _paragraphs(s, d).select("paragraph_id", F.explode(X.places(F.col("text"), "disease")).alias("at"), "text").select("paragraph_id", X.context(F.col("text"), F.col("at"), F.col("at") + 7).alias("context")),
     "c14_listed_mentions": lambda s, d: table(s, d, "papers").select("paper_id", F.posexplode("entities").alias("pos", "e")).select("paper_id", F.col("pos").cast("long").alias("pos"), F.col("e.name").alias("name"), F.lower("e.type").alias("type"), F.col("e.id").alias("hint"), F.lit(0.9).alias("confidence")),
@@ -106,6 +115,12 @@ def _strength(n: str, p: str) -> str:
     return f"greatest(0.0, least(1.0, 0.5::DOUBLE + CASE WHEN {n} >= 1000 THEN 0.2 WHEN {n} >= 100 THEN 0.1 WHEN {n} < 10 AND {n} <> 0 THEN -0.1 ELSE 0.0 END::DOUBLE + CASE WHEN {p} < 0.001 AND {p} <> 0 THEN 0.2 WHEN {p} < 0.01 AND {p} <> 0 THEN 0.1 WHEN {p} >= 0.05 THEN -0.1 ELSE 0.0 END::DOUBLE))"
 
 
+def evidence_sql(source: str) -> str:
+    """CTEs that read evidence from texts: ``found`` has a row for each that gives some."""
+    return f""", plain_texts AS (SELECT *, {_ascii('text')} AS plain FROM {source}), numbers AS (SELECT *, {_N} AS n, {_P} AS p, {_R} AS rate FROM plain_texts),
+found AS (SELECT paragraph_id, paper_id, coalesce(section, 'results') AS section, n AS sample_size, p AS p_value, round({_strength('n', 'p')}, 6) AS confidence, substring(text, 1, 500) AS text_span FROM numbers WHERE coalesce(n <> 0, false) OR coalesce(p <> 0, false) OR coalesce(rate <> 0, false))"""
+
+
 _WORDS = "regexp_extract_all(lower({}), '[\\p{{L}}\\p{{N}}\\-]+')"
 _FORMS = "SELECT entity_id, name AS key FROM reference_entities UNION ALL SELECT entity_id, unnest(synonyms) FROM reference_entities UNION ALL SELECT entity_id, unnest(abbreviations) FROM reference_entities"
 _KEYS = f"SELECT DISTINCT entity_id, array_to_string(w, ' ') AS run, len(w) AS n FROM (SELECT entity_id, {_WORDS.format('key')} AS w FROM ({_FORMS})) WHERE len(w) > 0"
@@ -123,8 +138,9 @@ SELECT 'PLACEHOLDER_SUBJECT_' || paragraph_id || '_claim_' || k AS subject_id, p
     "c6_rates": with_views("paragraphs_v", sql=f"SELECT * FROM (SELECT paragraph_id, {_R} AS rate FROM {_PLAIN}) WHERE rate IS NOT NULL"),
     "c7_p_values": with_views("paragraphs_v", sql=f"SELECT * FROM (SELECT paragraph_id, {_P} AS p FROM {_PLAIN}) WHERE p IS NOT NULL"),
     "c8_strengths": with_views("assertions_v", sql=f"SELECT paper_id, subject_id, sample_size, p_value, round({_strength('sample_size', 'p_value')}, 6) AS strength FROM assertions_v"),
-    "c9_evidence": with_views("paragraphs_v", sql=f", r AS (SELECT *, {_N} AS n, {_P} AS p, {_R} AS rate FROM {_PLAIN}) SELECT paragraph_id, paper_id, coalesce(section, 'results') AS section, n AS sample_size, p AS p_value, round({_strength('n', 'p')}, 6) AS confidence, substring(text, 1, 500) AS text_span FROM r WHERE coalesce(n <> 0, false) OR coalesce(p <> 0, false) OR coalesce(rate <> 0, false)"),
-    "c10_relationship_evidence": with_views("paper_rels_v", sql=f", paragraphs_r AS (SELECT DISTINCT concat_ws(':', paper_id, pos) AS paragraph_id, paper_id, section, evidence AS text FROM paper_rels_v WHERE evidence IS NOT NULL), r AS (SELECT *, {_N} AS n, {_P} AS p, {_R} AS rate FROM (SELECT *, " + _ascii('text') + f" AS plain FROM paragraphs_r)) SELECT paragraph_id, paper_id, coalesce(section, 'results') AS section, n AS sample_size, p AS p_value, round({_strength('n', 'p')}, 6) AS confidence, substring(text, 1, 500) AS text_span FROM r WHERE coalesce(n <> 0, false) OR coalesce(p <> 0, false) OR coalesce(rate <> 0, false)"),
+    "c9_evidence": with_views("paragraphs_v", sql=evidence_sql("paragraphs_v") + " SELECT * FROM found"),
+    "c10_relationship_evidence": with_views("paper_rels_v", sql=evidence_sql("(SELECT DISTINCT concat_ws(':', paper_id, pos) AS paragraph_id, paper_id, section, evidence AS text FROM paper_rels_v WHERE evidence IS NOT NULL)") + " SELECT * FROM found"),
+    "c10_upserted_evidence": with_views("paper_rels_v", sql=", d AS (SELECT subject_id, predicate, object_id, count(DISTINCT (paper_id, pos, evidence)) AS n_texts, arg_min(evidence, (paper_id, pos, evidence)) AS text FROM paper_rels_v WHERE evidence IS NOT NULL GROUP BY 1, 2, 3), k AS (SELECT *, row_number() OVER () AS paragraph_id FROM d)" + evidence_sql("(SELECT paragraph_id, text, '' AS paper_id, '' AS section FROM k)") + " SELECT subject_id, predicate, object_id, n_texts, CASE WHEN f.paragraph_id IS NULL THEN 0 ELSE 1 END::BIGINT AS n_items, sample_size, p_value, confidence, text_span FROM k LEFT JOIN found f ON f.paragraph_id = k.paragraph_id"),
     "c11_clean_mentions": f"SELECT paper_id, n AS name, confidence FROM (SELECT *, regexp_replace(name, '^\\s+|\\s+$', '', 'g') AS n FROM ({_NAMES})) WHERE length(n) >= 3 AND NOT starts_with(n, '##') AND lower(n) NOT IN ({_STOP}) AND confidence >= 0.85::DOUBLE",
     "c13_contexts": with_views("paragraphs_v", sql=""", f AS (SELECT paragraph_id, text, string_split(text, 'disease') AS parts FROM paragraphs_v),
 p AS (SELECT paragraph_id, text, length(array_to_string(parts[1:i], 'disease')) AS place FROM (SELECT *, unnest(range(1, len(parts))) AS i FROM f))
@@ -135,6 +151,7 @@ k AS ({_KEYS}), r AS ({_RUNS}), f AS (SELECT DISTINCT entity_id, lower(key) AS k
 m AS (SELECT DISTINCT paragraph_id, entity_id FROM r JOIN k USING (run)),
 g AS (SELECT paragraph_id, no, predicate, list_sort(list(DISTINCT entity_id)) AS ids FROM c JOIN m USING (paragraph_id) JOIN f USING (entity_id) WHERE contains(lower(sentence), f.key) GROUP BY 1, 2, 3)
 SELECT paragraph_id, no, predicate, ids[1] AS subject_id, ids[2] AS object_id FROM g WHERE len(ids) > 1"""),
+    "k1_packed_chunks": "WITH RECURSIVE o AS (SELECT paper_id, text, length(text) AS n, row_number() OVER (PARTITION BY paper_id ORDER BY paragraph_id) AS k FROM documents WHERE paper_id IS NOT NULL AND text IS NOT NULL), f AS (SELECT paper_id, k, 0 AS no, n + 2 AS size FROM o WHERE k = 1 UNION ALL SELECT o.paper_id, o.k, CASE WHEN f.size + o.n > 2000 THEN f.no + 1 ELSE f.no END, CASE WHEN f.size + o.n > 2000 THEN o.n ELSE f.size + o.n + 2 END FROM f JOIN o ON o.paper_id = f.paper_id AND o.k = f.k + 1), c AS (SELECT paper_id, no, string_agg(text, chr(10) || chr(10) ORDER BY k) AS text FROM f JOIN o USING (paper_id, k) GROUP BY 1, 2) SELECT paper_id, no::BIGINT AS no, length(text) AS n_chars, md5(text) AS digest FROM c",
     "k2_slices": with_views("paragraphs_v", sql="SELECT paragraph_id, no, substring(text, no * 512 + 1, 512) AS slice FROM (SELECT paragraph_id, text, unnest(range(((length(text) + 511) / 512)::INT)) AS no FROM (SELECT paragraph_id, text FROM paragraphs_v WHERE length(text) > 0)) WHERE no * 512 < length(text)"),
     "e1_dictionary_mentions": with_views("paragraphs_v", sql=f", k AS ({_KEYS}), r AS ({_RUNS}) SELECT paragraph_id, pos, n_words, entity_id FROM r JOIN k USING (run)"),
     "e2_label_types": "SELECT label, n, CASE WHEN label LIKE '%DISEASE%' THEN 'disease' WHEN label LIKE '%GENE%' OR label LIKE '%PROTEIN%' THEN 'gene' WHEN label LIKE '%DRUG%' OR label LIKE '%CHEMICAL%' THEN 'drug' ELSE 'disease' END AS type FROM (SELECT upper(subject.type) AS label, count(*) AS n FROM extraction_edges WHERE subject.type IS NOT NULL GROUP BY 1)",

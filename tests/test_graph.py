@@ -36,6 +36,41 @@ def test_fluent_query(graph):
         q.frame()
 
 
+def test_search_and_results(graph, spark):
+    vectors = spark.createDataFrame([("C1", [1.0, 0.0]), ("D1", [0.9, 0.1]), ("G1", [0.0, 1.0])], "id string, embedding array<float>")
+    q = lookup.GraphQuery({**graph, "vectors": vectors, "embed": lambda text: [1.0, 0.0] if text == "cancer" else [0.0, 1.0]})
+    assert ids(q.semantic_search("cancer").frame()) == ["C1", "D1"] and ids(q.semantic_search([0.0, 1.0], threshold=0.0, k=1).frame()) == ["G1"]
+    assert ids(q.semantic_search("cancer", "drug").frame()) == ["D1"] and ids(q.semantic_search("x", "drug").frame()) == []
+    found = q.semantic_search("cancer").limit(1).execute()
+    assert found.query_time_ms is None and found.count == 1 and found.query_time_ms > 0
+    assert [r["entity_id"] for r in found.results] == ["C1"] and found.to_dataframe().columns == ["entity_id", "similarity"]
+    assert '"entity_id":"C1"' in found.to_json().first().value
+    assert "Scan" in q.entities("drug").to_sql() and "Plan" in found.query_sql
+
+
+def test_quantiles_equal_numpy(spark):
+    import random
+
+    import numpy as np
+
+    rng = random.Random(4)
+    for values in ([rng.choice([0.5, 0.9, rng.random()]) for _ in range(999)], [3.0], [1.0, 2.0], [7.0] * 50, [rng.gauss(0, 1e6) for _ in range(400)] + [1e12]):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        for bins in (10_000, 3):
+            got = aggregates.quantiles(df, [0.0, 0.25, 0.5, 0.75, 1.0], bins)
+            assert list(got.values()) == pytest.approx(np.percentile(values, [0, 25, 50, 75, 100]).tolist())
+    empty = aggregates.describe(spark.createDataFrame([], "x double"), "x").first()
+    assert empty.n == 0 and empty.p50 is None
+
+
+def test_claims_are_traced_to_edges(spark):
+    claims = spark.createDataFrame([("P", 0, "a", "treats", "b"), ("P", 1, "a", "causes", "c"), ("Q", 0, "a", "treats", "b")], "paper_id string, pos bigint, subject_id string, predicate string, object_id string")
+    evidence = spark.createDataFrame([("P", 0, 30, 0.01, 0.6)], "paper_id string, pos bigint, sample_size bigint, p_value double, confidence double")
+    edges = spark.createDataFrame([("e1", ("a",), ("b",), ("P",), 0.9), ("e1", ("a",), ("b",), ("P",), 0.9), ("e2", ("a",), ("b",), ("P",), float("nan")), ("e3", ("x",), ("b",), ("Q",), 0.9)], "id string, subject struct<id:string>, object struct<id:string>, provenance struct<source_id:string>, confidence double")
+    got = {(r.paper_id, r.pos): (r.sample_size, r.strength, r.n_edges, r.best_edge) for r in joins.audit(claims, evidence, edges).collect()}
+    assert got == {("P", 0): (30, 0.6, 2, 0.9), ("P", 1): (None, None, 0, None), ("Q", 0): (None, None, 0, None)}
+
+
 def test_lookups(graph, spark):
     e = graph["entities"]
     assert ids(lookup.by_id(e, "entity_id", "")) == [] and ids(lookup.by_id(e, "entity_id", None)) == [] and ids(lookup.by_id(e, "entity_id", "G1")) == ["G1"]

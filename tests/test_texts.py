@@ -107,3 +107,38 @@ def test_hash_vector_is_a_digest(spark):
     raw = [b / 255 for b in hashlib.sha256(b"brca1").digest()[:8]]
     norm = sum(x * x for x in raw) ** 0.5
     assert one(spark, lambda c: T.hash_vector(c, 8), "BRCA1")[0] == pytest.approx([x / norm for x in raw])
+
+
+def test_packed_chunks_equal_a_loop(spark):
+    rows = [(f"P{i % 3}", f"q{i:03}", "x" * ((i * 37) % 90)) for i in range(200)] + [("P0", "q999", None), (None, "q1000", "y"), ("long", "q0", "z" * 500)]
+    want = {}
+    for paper in {r[0] for r in rows if r[0]}:
+        chunks, length = [], 0
+        for _, _, t in sorted(r for r in rows if r[0] == paper and r[2] is not None):
+            if chunks and length + len(t) > 150:
+                chunks.append([t])
+                length = len(t)
+            else:
+                chunks = chunks or [[]]
+                chunks[-1].append(t)
+                length += len(t) + 2
+        want.update({(paper, i): "\n\n".join(c) for i, c in enumerate(chunks)})
+    df = spark.createDataFrame([(*r, 5) for r in rows], "paper_id string, paragraph_id string, text string, no int")
+    assert {(r.paper_id, r.no): r.text for r in X.packed_chunks(df, 150).collect()} == want
+    assert X.packed_chunks(df.limit(0)).count() == 0
+
+
+def test_evidence_is_appended_to_triples(spark):
+    kind = "array<struct<sample_size:bigint,p_value:double,confidence:double,text_span:string>>"
+    df = spark.createDataFrame([("a", ["n = 40, p = 0.003", "n = 9"], [(1, 0.5, 0.1, "old")]), ("b", ["nothing"], []), ("c", [], [])], f"subject_id string, evidence array<string>, items {kind}")
+    got = {r.subject_id: [tuple(i) for i in r["items"]] for r in X.with_found_evidence(df).collect()}
+    assert got["b"] == got["c"] == [] and got["a"][0] == (1, 0.5, 0.1, "old") and got["a"][1][:2] == (40, 0.003) and len(got["a"]) == 2
+
+
+def test_dictionary_of_any_size_gives_the_same(spark, monkeypatch):
+    text = spark.createDataFrame([("p", "Renal cell sarcoma and renal failure; sarcoma.")], "paragraph_id string, text string")
+    index = spark.createDataFrame([("renal cell sarcoma", "A"), ("sarcoma", "B"), ("renal failure", "C"), ("absent", "D")], "key string, entity_id string")
+    want = {(0, 3, "A"), (2, 1, "B"), (4, 2, "C"), (6, 1, "B")}
+    for most in (200_000, 3, 0):
+        monkeypatch.setattr(X, "MOST_BROADCAST", most)
+        assert {(r.pos, r.n_words, r.entity_id) for r in X.dictionary_mentions(text, index).collect()} == want
