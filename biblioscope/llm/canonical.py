@@ -3,8 +3,9 @@
 Names are reduced to tokens; each different token is joined to the reference vocabulary by edit distance (a join
 on segments: of two words within two edits, one of three parts of the one stands nearly unmoved in the other).
 Forms of the reference (names, synonyms, abbreviations) are indexed by their rarest token, so every form that a
-name's repaired tokens can make up is a candidate. Candidates are ranked by soft TF-IDF, in which a token counts
-by its inverse document frequency times its likeness; one is accepted only if every token of the form is found
+name's repaired tokens can make up is a candidate. Candidates are ranked by soft TF-IDF: the cosine of the two weighted
+sets of tokens, where the tokens of a name weigh by how few names have them, those of a form by how few forms do, and two that are alike count
+by their likeness. One is accepted only if every token of the form is found
 in the name, and nothing that bears a meaning is left over. Everything else is reported as unmatched.
 """
 
@@ -13,6 +14,8 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from collections.abc import Callable
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -38,6 +41,11 @@ OCR = str.maketrans("015", "ols")
 MOST_EDITS = 2
 #: Words below this length are compared exactly.
 SHORTEST = 5
+#: Parts into which the names are put where they meet keys and forms, so that no key or anchor is one task's alone.
+SALTS = 8
+#: Tokens in more than 1/HOT_SHARE of the names get their weight by a broadcast; there are at most HOT_SHARE times the
+#: tokens of a name of them.
+HOT_SHARE = 10_000
 
 
 def bare(text: str) -> str:
@@ -96,6 +104,7 @@ def edits(a: str, b: str, most: int) -> int:
     return min(last[-1], most + 1)
 
 
+@lru_cache(maxsize=1 << 16)
 def likeness(token: str, word: str, code: bool, ends: bool) -> float:
     """1 for equal tokens, less for edited or cut-off ones, 0 for others. Numbers and codes agree in full."""
     if token == word:
@@ -116,6 +125,7 @@ def likeness(token: str, word: str, code: bool, ends: bool) -> float:
     return 0.0
 
 
+@lru_cache(maxsize=1 << 16)
 def _is_dressing(token: str, ends: bool) -> bool:
     return token in DRESSING or (len(token) >= 6 and any(edits(token, w, 1) <= 1 or (ends and w.startswith(token)) for w in DRESSING if len(w) >= 6))
 
@@ -130,7 +140,7 @@ def _undosed(tokens: list[str]) -> list[str]:
     return out
 
 
-def _score(name: list[str], known: set[str], form: list[str], codes: list[bool], weights: list[float], also: set[str]) -> float:
+def _score(name: list[str], known: set[str], form: list[str], codes: list[bool], weights: list[float], also: set[str], weigh: Callable[[str], float]) -> float:
     """Soft TF-IDF cosine of a name and a form if the name can be a way of writing the form, else 0.
 
     What is left of the name has to be dressing, or another form of the same entry (as ``also`` has it)."""
@@ -139,7 +149,10 @@ def _score(name: list[str], known: set[str], form: list[str], codes: list[bool],
     for w in sorted(range(len(form)), key=lambda k: -weights[k]):
         best, at = 0.0, -1
         for k in free:
-            if name[k] in known and name[k] != form[w]:
+            if name[k] == form[w]:
+                best, at = 1.0, k
+                break
+            if name[k] in known:
                 continue  # a word of the vocabulary means itself
             s = likeness(name[k], form[w], codes[w], k in (0, len(name) - 1))
             if s > best:
@@ -147,18 +160,22 @@ def _score(name: list[str], known: set[str], form: list[str], codes: list[bool],
         if at < 0:
             return 0.0
         free.remove(at)
-        dot += weights[w] ** 2 * best
+        dot += weights[w] * weigh(name[at]) * best
         mine += weights[w] ** 2
     left = [k for k in free if not _is_dressing(name[k], k == len(name) - 1)]
     if left and "".join(name[k] for k in left) not in also:
         return 0.0
-    return dot / (mine + 0.01 * (len(free) - len(left)))
+    return dot / math.sqrt(mine * sum(weigh(t) ** 2 for t in name))
 
 
-def agreement(name: list[str], known: set[str], form: list[str], codes: list[bool], weights: list[float], also: set[str]) -> float:
-    """How well a name's tokens make up a form, under any of the ways its words may be parted."""
+def agreement(name: list[str], known: set[str], form: list[str], codes: list[bool], weights: list[float], also: set[str], own: dict[str, float]) -> float:
+    """How well a name's tokens make up a form, under any of the ways its words may be parted.
+
+    ``own`` has the weights of the name's tokens; words that only come of parting it weigh as the rarest do."""
     name = _undosed(name)
-    best = _score(name, known, form, codes, weights, also)
+    rarest = max(own.values(), default=1.0)
+    weigh = lambda t: own.get(t, rarest)
+    best = _score(name, known, form, codes, weights, also, weigh)
     if best:
         return best
     ways = []
@@ -175,7 +192,7 @@ def agreement(name: list[str], known: set[str], form: list[str], codes: list[boo
                     ways.append([*name[:k], t[: -len(w)], w, *name[k + 1 :]])
         if k + 1 < len(name) and (t not in known or name[k + 1] not in known) and not t.isdigit() and not name[k + 1].isdigit():
             ways.append([*name[:k], t + name[k + 1], *name[k + 2 :]])
-    best = max((0.98 * _score(w, known, form, codes, weights, also) for w in ways), default=0.0)
+    best = max((0.98 * _score(w, known, form, codes, weights, also, weigh) for w in ways), default=0.0)
     if not best and len(form) > 1 and len(name) < len(form):  # all words run together
         whole, run = "".join(form), "".join(t for k, t in enumerate(name) if not _is_dressing(t, k == len(name) - 1) or t in form)
         number = re.search(r"\d*$", whole)[0]
@@ -204,16 +221,17 @@ def vocabulary_keys(word: str) -> list[str]:
     return keys
 
 
-def token_keys(token: str) -> list[str]:
-    """What a token of a name asks for: itself; parts of words of about its length; words it may be cut from, or
-    that it starts or ends with."""
+def token_keys(token: str, single: bool = True) -> list[str]:
+    """What a token of a name asks for: itself; parts of words of about its length; words it may be cut from, or, for a
+    ``single`` token (not two of them put together), that it starts or ends with."""
     keys = {f"={token}", f"f{folded(token)}", f"<{token}"}
     n = len(token)
     if n >= SHORTEST - 1 and not token.isdigit():
         for length in range(max(SHORTEST, n - MOST_EDITS), n + MOST_EDITS + 1):
             a, b = length // 3, 2 * length // 3
             for i, (start, stop) in enumerate(((0, a), (a, b), (b, length))):
-                for at in range(max(0, start - MOST_EDITS), min(n - (stop - start), start + MOST_EDITS) + 1):
+                # moved by at most MOST_EDITS from its place, counted from the start and, but for a plural's end, from the end
+                for at in range(max(0, start - MOST_EDITS, start + n - length - MOST_EDITS - 1), min(n - (stop - start), start + MOST_EDITS, start + n - length + MOST_EDITS) + 1):
                     end = at + stop - start
                     left, right = token[at - 1 : at], token[end : end + 1]
                     keys.add(f"{length}/{i}/{token[at:end]}")
@@ -222,7 +240,7 @@ def token_keys(token: str) -> list[str]:
                         keys.add(f"{length}/{i}/{left}{token[at + 1 : end]}")
                     if right:
                         keys.add(f"{length}/{i}/{token[at : end - 1]}{right}")
-        if n >= 8:
+        if single and n >= 8:
             keys.update(f"={token[:k]}" for k in range(4, n - 1))
             keys.update(f"={token[k:]}" for k in range(2, n - 3))
     return sorted(keys)
@@ -253,6 +271,18 @@ def reference_forms(reference: DataFrame) -> DataFrame:
     return entry.join(per_form, "form").join(also, "ref_id").withColumn("weights", F.transform("tokens", lambda t: F.element_at("idf", t))).drop("idf")
 
 
+def _token_weights(parted: DataFrame) -> DataFrame:
+    """(name, own): the weights of each name's tokens, log(1 + names / names with the token)."""
+    total = parted.count()
+    each = parted.select("name", F.explode(F.array_distinct("tokens")).alias("token"))
+    counts = each.groupBy("token").agg(F.log(F.lit(1.0) + F.lit(total) / F.count("*")).alias("weight"), F.count("*").alias("n"))
+    hot = counts.where(F.col("n") > total // HOT_SHARE).select("token", F.col("weight").alias("known"))
+    marked = each.join(F.broadcast(hot), "token", "left")
+    rest = marked.where("known IS NULL").select("name", "token").join(counts.select("token", "weight"), "token")
+    every = marked.where("known IS NOT NULL").select("name", "token", F.col("known").alias("weight")).unionByName(rest)
+    return every.groupBy("name").agg(F.collect_list(F.struct("token", "weight")).alias("own"))
+
+
 def canonical(names: DataFrame, reference: DataFrame) -> DataFrame:
     """(name, ref_id, score) of every different name that denotes an entry; null and blank names give no row.
 
@@ -274,30 +304,49 @@ def canonical(names: DataFrame, reference: DataFrame) -> DataFrame:
     words = forms.select(F.explode("tokens").alias("word")).union(anchors.select("anchor")).distinct()
     # tokens of names, and neighbours that may be one word
     neighbours = F.transform(F.sequence(F.lit(0), F.size("tokens") - 2), lambda i: F.concat(F.get("tokens", i), F.get("tokens", i + 1)))
-    asked = parted.withColumn("all", F.concat("tokens", F.when(F.size("tokens") > 1, neighbours).otherwise(F.array().cast("array<string>")))).select("name", F.explode(F.array_distinct("all")).alias("token"))
+    marked = lambda c, single: F.transform(c, lambda t: F.struct(t.alias("token"), F.lit(single).alias("single")))
+    paired = F.when(F.size("tokens") > 1, neighbours).otherwise(F.array().cast("array<string>"))
+    asked_as = parted.select("name", F.explode(F.array_distinct(F.concat(marked(F.col("tokens"), True), marked(paired, False)))).alias("t")).select("name", "t.token", "t.single")
+    asked = asked_as.select("name", "token").distinct()
     exact = forms.select(F.explode("tokens").alias("token")).distinct()
     # a word of the vocabulary means itself, so only the others are to be repaired
-    tokens = asked.select("token").distinct().join(exact, "token", "left_anti").repartition(tasks, F.xxhash64("token"))
+    tokens = asked_as.groupBy("token").agg(F.max("single").alias("single")).join(exact, "token", "left_anti").repartition(tasks, F.xxhash64("token"))
     index = _with_list(words, "word", "keys", vocabulary_keys, "array<string>").select("word", F.explode("keys").alias("key"))
-    probes = _with_list(tokens, "token", "keys", token_keys, "array<string>").select("token", F.explode("keys").alias("key"))
-    near = F.levenshtein("token", "word", MOST_EDITS + 1)
-    # two swaps are four edits there, but keep the letters; a plural may have one more
+
+    @F.pandas_udf("array<string>")
+    def asks(token: pd.Series, single: pd.Series) -> pd.Series:
+        return pd.Series([token_keys(t, s) for t, s in zip(token, single)], dtype=object)
+
+    probes = tokens.select("token", F.explode(asks("token", "single")).alias("key"))
+    distance = F.levenshtein("token", "word", 2 * MOST_EDITS)
+    near = (distance >= 0) & (distance <= MOST_EDITS + 1)
+    # two swaps are four edits there, but keep the letters; a plural may have one more. Letters are costly to sort, so only
+    # pairs at that distance are.
     letters = lambda c: F.array_sort(F.split(c, ""))
-    swapped = (letters(F.col("token")) == letters(F.col("word"))) | (letters(F.col("token")) == letters(F.concat("word", F.lit("s"))))
+    longer = F.length("token") - F.length("word")
+    swapped = (distance > MOST_EDITS + 1) & F.when(longer == 0, letters(F.col("token")) == letters(F.col("word"))).when(longer == 1, letters(F.col("token")) == letters(F.concat("word", F.lit("s")))).otherwise(F.lit(False))
     cut_off = F.col("word").startswith(F.col("token")) | F.col("token").startswith(F.col("word")) | F.col("token").endswith(F.col("word"))
     # both sides are longer than their estimates, which know nothing of the keys of a token: no broadcast
-    met = probes.join(index.hint("merge"), "key").where(F.col("key").startswith("f") | (near >= 0) | swapped | cut_off)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    salt = lambda c: F.pmod(F.xxhash64(c), F.lit(SALTS)).cast("int")
+    met = probes.withColumn("salt", salt("token")).join(index.select("*", salts).hint("merge"), ["key", "salt"]).where(F.col("key").startswith("f") | cut_off | near | swapped)
     repaired = cut(met.select("token", "word").union(exact.select("token", F.col("token").alias("word"))).distinct())
     known = asked.join(exact, "token").groupBy("name").agg(F.collect_set("token").alias("known"))
-    meant = asked.join(repaired.hint("merge"), "token").select("name", F.col("word").alias("anchor")).distinct()
-    candidates = meant.join(anchors.hint("merge"), "anchor").join(parted.hint("merge"), "name").join(known.hint("merge"), "name", "left").repartition(tasks, F.xxhash64("name", "form"))
+    meant = cut(asked.join(repaired.hint("merge"), "token").select("name", F.col("word").alias("anchor")).distinct())
+    # A name is a way of writing a form only if its tokens mean all words of the form, or all but one (a word run together with
+    # another is known by what remains of it), or if all its words are run together.
+    reach = meant.groupBy("name").agg(F.collect_list("anchor").alias("reach"))
+    of_names = parted.join(reach.hint("merge"), "name").join(known.hint("merge"), "name", "left").join(_token_weights(parted).hint("merge"), "name", "left")
+    reached = meant.withColumn("salt", salt("name")).join(anchors.select("*", salts).hint("merge"), ["anchor", "salt"]).drop("salt").withColumn("whole", (F.size("form_tokens") > 1) & (F.col("anchor") == run_together)).drop("anchor")
+    missing = F.size(F.filter("form_tokens", lambda w: ~F.array_contains("reach", w)))
+    candidates = reached.join(of_names.hint("merge"), "name").where(F.col("whole") | (missing <= 1)).drop("reach", "whole").repartition(tasks, F.xxhash64("name", "form"))
 
     @F.pandas_udf("double")
-    def scored(tokens: pd.Series, known: pd.Series, form: pd.Series, codes: pd.Series, weights: pd.Series, also: pd.Series) -> pd.Series:
-        rows = zip(tokens, known, form, codes, weights, also)
-        return pd.Series([agreement(list(t), set(k) if k is not None else set(), list(f), list(c), list(w), set(a)) for t, k, f, c, w, a in rows], dtype="float64")
+    def scored(tokens: pd.Series, known: pd.Series, own: pd.Series, form: pd.Series, codes: pd.Series, weights: pd.Series, also: pd.Series) -> pd.Series:
+        rows = zip(tokens, known, own, form, codes, weights, also)
+        return pd.Series([agreement(list(t), set(k) if k is not None else set(), list(f), list(c), list(w), set(a), {x["token"]: x["weight"] for x in o}) for t, k, o, f, c, w, a in rows], dtype="float64")
 
-    ranked = candidates.withColumn("score", scored("tokens", "known", "form_tokens", "codes", "weights", "also")).where("score > 0")
+    ranked = candidates.withColumn("score", scored("tokens", "known", "own", "form_tokens", "codes", "weights", "also")).where("score > 0")
     per_entry = ranked.groupBy("name", "ref_id").agg(F.max("score").alias("score"))
     best = per_entry.withColumn("place", F.rank().over(Window.partitionBy("name").orderBy(F.desc(F.round("score", 9))))).where("place = 1")
     return best.groupBy("name").agg(F.count("*").alias("n"), F.min("ref_id").alias("ref_id"), F.max("score").alias("score")).where("n = 1").select("name", "ref_id", "score")

@@ -124,3 +124,20 @@ def test_names(spark):
     assert {k: v for k, v in got.items() if v != want[k][1]} == {}
     assert canonical.resolve(df.limit(0), reference).count() == 0
     assert {r.ref_id for r in canonical.resolve(df, reference.limit(0)).collect()} == {canonical.UNMATCHED}
+
+
+def test_scores_are_cosines_of_both_sides(spark):
+    reference = spark.createDataFrame([(i, "t", n, s, a, "src") for i, n, s, a in REFERENCE], "entity_id string, type string, name string, synonyms array<string>, abbreviations array<string>, source string")
+    names = ["Plodisal edema", "plodisal EDEMA", "Plodisal edema, NOS", "Plodisal oedema", "Plodisal oedema patients"]
+    got = {r.name: r.score for r in canonical.canonical(spark.createDataFrame([(n,) for n in names], "name string"), reference).collect()}
+    assert set(got) == set(names)
+    assert got["Plodisal edema"] == got["plodisal EDEMA"] and 0.9 < got["Plodisal edema"] <= 1.0
+    assert got["Plodisal edema, NOS"] < got["Plodisal edema"] and got["Plodisal oedema patients"] < got["Plodisal oedema"] < 1.0
+
+
+def test_one_word_in_most_names(spark):
+    """Names that share their rarest word with many forms are spread over tasks; none is lost."""
+    reference = spark.createDataFrame([(f"R{i}", f"sarcoidosis type {i}") for i in range(60)], "entity_id string, name string").selectExpr("entity_id", "'t' AS type", "name", "cast(null AS array<string>) AS synonyms", "cast(null AS array<string>) AS abbreviations", "'s' AS source")
+    names = spark.createDataFrame([(f"e{i}", f"sarcoidosi{'s' * (i % 2)} type {i % 80}") for i in range(400)], "entity_id string, name string")
+    got = {r.entity_id: r.ref_id for r in canonical.resolve(names, reference).collect()}
+    assert got == {f"e{i}": f"R{i % 80}" if i % 80 < 60 else canonical.UNMATCHED for i in range(400)}
