@@ -14,6 +14,7 @@ import html
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -27,9 +28,12 @@ SAMPLE_EVERY = 16
 SEEDED = 0.4
 #: Share of a passage's words that must be the item's.
 DENSE = 0.6
+#: Evaluation items that one pass searches for.
+ITEMS_AT_ONCE = 100_000
 #: Words of one shard's index.
 SHARD_WORDS = 1_000_000
-TAG = re.compile(r"<[^<>]{0,400}>")
+#: Markup of any length; a '<' before anything else (as in 'p < 0.05') is none.
+TAG = re.compile(r"<[A-Za-z/!?][^<>]*>")
 SOFT = re.compile("[­​‌‍⁠﻿]")
 #: A hyphen at the end of a line joins the parts of a word.
 BROKEN = re.compile(r"(?<=\w)[-‐]\s*\n\s*(?=\w)")
@@ -215,28 +219,32 @@ class FMIndex:
 def _passage(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """Best local alignment of an item's words with a stretch of text: (equal words, from, to).
 
-    An equal word scores 2, a differing one -1, a missing or an additional one -1."""
-    n, m = len(item), len(text)
-    score = np.zeros((n + 1, m + 1), np.int32)
+    An equal word scores 2, a differing one -1, a missing or an additional one -1. One row of scores is held, with the
+    place where each cell's alignment begins and its equal words, so memory grows with the stretch alone."""
+    m = len(text)
     steps = np.arange(m + 1)
-    for i in range(1, n + 1):
-        equal = np.where(text == item[i - 1], 2, -1)
-        best = np.maximum(score[i - 1, :-1] + equal, score[i - 1, 1:] - 1)
-        row = np.maximum(np.concatenate([[0], best]), 0)
-        # an additional word costs 1: a running maximum of score + place
-        score[i] = np.maximum.accumulate(row + steps) - steps
-    i, j = np.unravel_index(int(score.argmax()), score.shape)
-    equal, end = 0, int(j)
-    while i > 0 and j > 0 and score[i, j] > 0:
-        same = item[i - 1] == text[j - 1]
-        if score[i, j] == score[i - 1, j - 1] + (2 if same else -1):
-            equal += bool(same)
-            i, j = i - 1, j - 1
-        elif score[i, j] == score[i - 1, j] - 1:
-            i -= 1
-        else:
-            j -= 1
-    return equal, int(j), end
+    score, start, equal = np.zeros(m + 1, np.int64), steps.copy(), np.zeros(m + 1, np.int64)
+    diagonal, began, same = np.empty(m + 1, np.int64), steps.copy(), np.zeros(m + 1, np.int64)
+    best = (0, 0, 0, 0)
+    for word in item.tolist():
+        hit = text == word
+        diagonal[0] = -1
+        diagonal[1:] = score[:-1] + np.where(hit, 2, -1)
+        up = score - 1
+        turn = up > diagonal
+        began[1:], same[1:] = start[:-1], equal[:-1] + hit
+        row = np.maximum(np.where(turn, up, diagonal), 0)
+        began, same = np.where(turn, start, began), np.where(turn, equal, same)
+        fresh = row == 0
+        began[fresh], same[fresh] = steps[fresh], 0
+        # an additional word costs 1: a running maximum of score + place, which says from where it comes
+        run = np.maximum.accumulate(((row + steps) << 32) | steps)
+        source = run & 0xFFFFFFFF
+        score, start, equal = (run >> 32) - steps, began[source], same[source]
+        top = int(score.argmax())
+        if score[top] > best[0]:
+            best = (int(score[top]), int(equal[top]), int(start[top]), top)
+    return best[1:]
 
 
 def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -292,20 +300,26 @@ def _leaks_of_shard(text: np.ndarray, bounds: np.ndarray, phrases: Phrases, part
     return found
 
 
-def leaked_passages(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", part: float = 0.6, most_items: int = 1_000_000) -> DataFrame:
+def leaked_passages(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", part: float = 0.6, items_at_once: int = ITEMS_AT_ONCE) -> DataFrame:
     """(doc_id, item_id, words_equal, n_words, word_from, word_to): every passage of a document that holds at
     least ``part`` of an item's words in nearly its order.
 
-    ``items`` is a stated set of bounded size: more than ``most_items`` rows are refused. Null and empty texts,
+    ``items`` is a stated set; its words go to every task. Of more than ``items_at_once`` each group of about so many is
+    searched in a pass of its own. Null and empty texts,
     on either side, give nothing; of items with one id the greatest text counts. Documents are read whole; one
     longer than a shard is parted with an overlap, where a passage may come out twice. Repeated documents each
     have their rows. Words are counted
     in the normalised text (from inclusive, to exclusive).
     """
-    stated = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).where("i IS NOT NULL AND t IS NOT NULL").groupBy("i").agg(F.max("t").alias("t")).limit(most_items + 1).collect()
-    if len(stated) > most_items:
-        raise ValueError(f"more than {most_items} evaluation items: search them in several calls")
-    known = Phrases([(r["i"], r["t"]) for r in stated])
+    named = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).where("i IS NOT NULL AND t IS NOT NULL").groupBy("i").agg(F.max("t").alias("t"))
+    groups = max(1, -(-named.count() // items_at_once))
+    passes = [_search(docs, named.where(F.pmod(F.xxhash64("i"), F.lit(groups)) == g), doc_id, doc_text, part) for g in range(groups)]
+    return reduce(DataFrame.unionByName, passes)
+
+
+def _search(docs: DataFrame, named: DataFrame, doc_id: str, doc_text: str, part: float) -> DataFrame:
+    """The passages of one group of items (i, t)."""
+    known = Phrases([(r["i"], r["t"]) for r in named.collect()])
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(doc_text).alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL AND text <> ''")
     phrases = docs.sparkSession.sparkContext.broadcast(known)
     names = ["doc_id", "item_id", "words_equal", "n_words", "word_from", "word_to"]

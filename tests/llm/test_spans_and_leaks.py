@@ -131,6 +131,51 @@ def test_leaks(spark):
     assert leaks.leaked_passages(df.limit(0), items).count() == 0 and leaks.leaked_passages(df, items.limit(0)).count() == 0
 
 
+def passage_by_matrix(item, text):
+    """The whole matrix of scores, traced back: a diagonal step before a missing word before an additional one."""
+    score = np.zeros((len(item) + 1, len(text) + 1), int)
+    for i in range(1, len(item) + 1):
+        for j in range(1, len(text) + 1):
+            score[i, j] = max(0, score[i - 1, j - 1] + (2 if item[i - 1] == text[j - 1] else -1), score[i - 1, j] - 1, score[i, j - 1] - 1)
+    i, j = np.unravel_index(int(score.argmax()), score.shape)
+    equal, end = 0, int(j)
+    while i > 0 and j > 0 and score[i, j] > 0:
+        same = item[i - 1] == text[j - 1]
+        if score[i, j] == score[i - 1, j - 1] + (2 if same else -1):
+            equal, i, j = equal + bool(same), i - 1, j - 1
+        elif score[i, j] == score[i - 1, j] - 1:
+            i -= 1
+        else:
+            j -= 1
+    return equal, int(j), end
+
+
+def test_alignment_equals_the_whole_matrix():
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        item = rng.integers(1, 6, rng.integers(1, 15))
+        text = rng.integers(0, 6, rng.integers(1, 30))
+        if rng.random() < 0.5:
+            at = rng.integers(0, len(text))
+            text = np.concatenate([text[:at], item, text[at:]])
+        assert leaks._passage(item, text) == passage_by_matrix(item, text)
+    long = rng.integers(1, 1000, 20_000)
+    assert leaks._passage(long, np.concatenate([long[:500] * 0, long, long[:500] * 0])) == (20_000, 500, 20_500)
+
+
+def test_items_in_groups_and_long_markup(spark):
+    rng = random.Random(12)
+    texts = {i: " ".join("".join(rng.choice(string.ascii_lowercase) for _ in range(6)) for _ in range(30)) for i in range(40)}
+    items = spark.createDataFrame(list(texts.items()), "item_id bigint, text string")
+    docs = [(100 + i, f"start {t} end") for i, t in texts.items()]
+    words = texts[0].split()
+    docs += [(200, " ".join(words[:15]) + f'<a title="{"x y " * 500}">' + " ".join(words[15:])), (201, " ".join(words[:9]) + " p < 0.05 " + " ".join(words[9:]) + " and x > 3")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    want = {(100 + i, i) for i in texts} | {(200, 0), (201, 0)}
+    for at_once in (100_000, 7):
+        assert {(r.doc_id, r.item_id) for r in leaks.leaked_passages(df, items, items_at_once=at_once).collect()} == want
+
+
 def test_index_counts_and_locates():
     rng = np.random.default_rng(5)
     text = rng.integers(0, 6, 4000)
