@@ -6,6 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: How sample sizes, rates and p values are written in prose.
+SAMPLE_N = r"(?i)\bn\s*=\s*(\d+)"
+SAMPLE_COUNTED = r"(?i)\b(\d+)\s+(?:samples|patients|subjects|nodes|lymph nodes|individuals|cases)"
+PERCENT = r"(\d+(?:\.\d+)?)\s*%"
+RATIO = r"(\d+)\s*(?:/|of)\s*(\d+)"
+P_SHORT = r"(?i)\bp\s*[<>=]\s*(0?\.\d+|[01](?:\.\d+)?)"
+P_LONG = r"(?i)p\s*-\s*value\s*[<>=]\s*(0?\.\d+|[01](?:\.\d+)?)"
+
+
 def strip(c: Column) -> Column:
     """Without white space of any kind at the ends (SQL's trim takes spaces only)."""
     return F.regexp_replace(c, r"^\s+|\s+$", "")
@@ -22,20 +31,18 @@ def _number(c: Column, pattern: str, group: int, kind: str) -> Column:
 
 def sample_size(c: Column) -> Column:
     """The n of 'n = 302', else of '302 patients'; null if there is none."""
-    counted = r"(?i)\b(\d+)\s+(?:samples|patients|subjects|nodes|lymph nodes|individuals|cases)"
-    return F.coalesce(_number(c, r"(?i)\bn\s*=\s*(\d+)", 1, "bigint"), _number(c, counted, 1, "bigint"))
+    return F.coalesce(_number(c, SAMPLE_N, 1, "bigint"), _number(c, SAMPLE_COUNTED, 1, "bigint"))
 
 
 def percentage(c: Column) -> Column:
     """'59%' as 0.59, else 'a/b' or 'a of b' as a fraction; null for a zero denominator."""
-    ratio = r"(\d+)\s*(?:/|of)\s*(\d+)"
-    percent = _number(c, r"(\d+(?:\.\d+)?)\s*%", 1, "double") / 100.0
-    return F.coalesce(percent, F.try_divide(_number(c, ratio, 1, "double"), _number(c, ratio, 2, "double")))
+    percent = _number(c, PERCENT, 1, "double") / 100.0
+    return F.coalesce(percent, F.try_divide(_number(c, RATIO, 1, "double"), _number(c, RATIO, 2, "double")))
 
 
 def p_value(c: Column) -> Column:
-    value = r"\s*[<>=]\s*(0?\.\d+|[01](?:\.\d+)?)"
-    return F.coalesce(_number(c, r"(?i)\bp" + value, 1, "double"), _number(c, r"(?i)p\s*-\s*value" + value, 1, "double"))
+    """The p of 'p < 0.05', else of 'p-value = 0.05'; null if there is none."""
+    return F.coalesce(_number(c, P_SHORT, 1, "double"), _number(c, P_LONG, 1, "double"))
 
 
 def evidence_strength(n: Column, p: Column) -> Column:

@@ -19,12 +19,14 @@ TYPE_RULES = [
     (("gene", "protein"), ("pathway",), ["participates_in"]),
 ]
 #: The registered predicates and entity types.
-PREDICATES = (
-    "treats causes increases_risk decreases_risk associated_with interacts_with diagnosed_by side_effect encodes participates_in contraindicated_for prevents manages binds_to"
-    " inhibits activates upregulates downregulates metabolizes diagnoses indicates precedes co_occurs_with located_in affects supports cites studied_in authored_by part_of"
-    " predicts refutes tested_by generates"
-).split()
-ENTITY_TYPES = "disease gene drug protein symptom procedure biomarker pathway".split()
+PREDICATES = [
+    "treats", "causes", "increases_risk", "decreases_risk", "associated_with", "interacts_with", "diagnosed_by",
+    "side_effect", "encodes", "participates_in", "contraindicated_for", "prevents", "manages", "binds_to", "inhibits",
+    "activates", "upregulates", "downregulates", "metabolizes", "diagnoses", "indicates", "precedes",
+    "co_occurs_with", "located_in", "affects", "supports", "cites", "studied_in", "authored_by", "part_of",
+    "predicts", "refutes", "tested_by", "generates",
+]
+ENTITY_TYPES = ["disease", "gene", "drug", "protein", "symptom", "procedure", "biomarker", "pathway"]
 
 
 def valid_predicates(subject_type: Column, object_type: Column) -> Column:

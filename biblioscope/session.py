@@ -41,6 +41,7 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g") ->
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
