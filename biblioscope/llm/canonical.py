@@ -332,14 +332,10 @@ def canonical(names: DataFrame, reference: DataFrame) -> DataFrame:
     met = probes.withColumn("salt", salt("token")).join(index.select("*", salts).hint("merge"), ["key", "salt"]).where(F.col("key").startswith("f") | cut_off | near | swapped)
     repaired = cut(met.select("token", "word").union(exact.select("token", F.col("token").alias("word"))).distinct())
     known = asked.join(exact, "token").groupBy("name").agg(F.collect_set("token").alias("known"))
-    meant = cut(asked.join(repaired.hint("merge"), "token").select("name", F.col("word").alias("anchor")).distinct())
-    # A name is a way of writing a form only if its tokens mean all words of the form, or all but one (a word run together with
-    # another is known by what remains of it), or if all its words are run together.
-    reach = meant.groupBy("name").agg(F.collect_list("anchor").alias("reach"))
-    of_names = parted.join(reach.hint("merge"), "name").join(known.hint("merge"), "name", "left").join(_token_weights(parted).hint("merge"), "name", "left")
-    reached = meant.withColumn("salt", salt("name")).join(anchors.select("*", salts).hint("merge"), ["anchor", "salt"]).drop("salt").withColumn("whole", (F.size("form_tokens") > 1) & (F.col("anchor") == run_together)).drop("anchor")
-    missing = F.size(F.filter("form_tokens", lambda w: ~F.array_contains("reach", w)))
-    candidates = reached.join(of_names.hint("merge"), "name").where(F.col("whole") | (missing <= 1)).drop("reach", "whole").repartition(tasks, F.xxhash64("name", "form"))
+    meant = asked.join(repaired.hint("merge"), "token").select("name", F.col("word").alias("anchor")).distinct()
+    of_names = parted.join(known.hint("merge"), "name", "left").join(_token_weights(parted).hint("merge"), "name", "left")
+    reached = meant.withColumn("salt", salt("name")).join(anchors.select("*", salts).hint("merge"), ["anchor", "salt"]).drop("salt", "anchor")
+    candidates = reached.join(of_names.hint("merge"), "name").repartition(tasks, F.xxhash64("name", "form"))
 
     @F.pandas_udf("double")
     def scored(tokens: pd.Series, known: pd.Series, own: pd.Series, form: pd.Series, codes: pd.Series, weights: pd.Series, also: pd.Series) -> pd.Series:
