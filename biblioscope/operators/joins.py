@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from biblioscope.operators.blocks import in_blocks
 from biblioscope.operators.lookup import name_search
 from biblioscope.session import cut
 
@@ -35,17 +36,20 @@ def related(entities: DataFrame, relationships: DataFrame, name: str, other_type
     return out.unionByName(into).where("predicate IS NOT NULL").join(start, "entity_id", "left_semi").join(ends, "other_id", "left_semi").select("entity_id", "predicate", "other_id", "confidence")
 
 
-def co_occurrence(mentions: DataFrame, least: float = 0.9) -> DataFrame:
+def co_occurrence(mentions: DataFrame, least: float = 0.9, block: int = 1000) -> DataFrame:
     """(paper_id, a, b, confidence) of two different entities in one paper, in order of their places.
 
     An edge's confidence is the lesser of two, so mentions below the bound are left out before they meet. A
-    mention is joined only to those after it in its paper.
+    mention is joined only to those after it in its paper. The mentions of a paper with more than ``block`` meet in blocks
+    of about so many, so such a paper is many tasks' work; the rows of the result still grow with the square.
     """
-    sure = mentions.where(F.col("confidence") >= least)
-    a = sure.select("paper_id", F.col("entity_id").alias("a"), F.col("pos").alias("pa"), F.col("confidence").alias("ca"))
-    b = sure.select("paper_id", F.col("entity_id").alias("b"), F.col("pos").alias("pb"), F.col("confidence").alias("cb"))
-    met = a.join(b, (a["paper_id"] == b["paper_id"]) & (F.col("pa") < F.col("pb")) & (F.col("a") != F.col("b")))
-    return met.select(a["paper_id"], "a", "b", F.least("ca", "cb").alias("confidence"))
+    sure = mentions.where(F.col("confidence") >= least).select("paper_id", "entity_id", "pos", "confidence")
+    long = sure.groupBy("paper_id").agg(F.count("*").alias("n")).where(F.col("n") > block)
+    left, right = in_blocks(sure.join(long, "paper_id", "left"), "pos", block)
+    a = left.select("paper_id", "x", "y", F.col("entity_id").alias("a"), F.col("pos").alias("pa"), F.col("confidence").alias("ca"))
+    b = right.select("paper_id", "x", "y", F.col("entity_id").alias("b"), F.col("pos").alias("pb"), F.col("confidence").alias("cb"))
+    met = a.join(b, ["paper_id", "x", "y"]).where((F.col("pa") < F.col("pb")) & (F.col("a") != F.col("b")))
+    return met.select("paper_id", "a", "b", F.least("ca", "cb").alias("confidence"))
 
 
 def since(relationships: DataFrame, papers: DataFrame, date: str) -> DataFrame:

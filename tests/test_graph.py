@@ -63,6 +63,17 @@ def test_quantiles_equal_numpy(spark):
     assert empty.n == 0 and empty.p50 is None
 
 
+def test_co_occurrence_in_blocks(spark):
+    import random
+
+    rng = random.Random(5)
+    rows = [("hot" if i % 3 == 0 else f"p{i % 40}", f"e{rng.randrange(30)}", i, rng.choice([0.8, 0.9, 1.0])) for i in range(300)]
+    want = sorted((p, a, b, min(c, d)) for p, a, i, c in rows for q, b, j, d in rows if p == q and i < j and a != b and min(c, d) >= 0.9)
+    df = spark.createDataFrame([(*r, 0, 0) for r in rows], "paper_id string, entity_id string, pos int, confidence double, x int, n int")
+    for block in (1000, 7, 1):
+        assert sorted(tuple(r) for r in joins.co_occurrence(df, block=block).collect()) == want
+
+
 def test_claims_are_traced_to_edges(spark):
     claims = spark.createDataFrame([("P", 0, "a", "treats", "b"), ("P", 1, "a", "causes", "c"), ("Q", 0, "a", "treats", "b")], "paper_id string, pos bigint, subject_id string, predicate string, object_id string")
     evidence = spark.createDataFrame([("P", 0, 30, 0.01, 0.6)], "paper_id string, pos bigint, sample_size bigint, p_value double, confidence double")
