@@ -116,12 +116,18 @@ def dictionary_mentions(paragraphs: DataFrame, index: DataFrame) -> DataFrame:
     return met.select("paragraph_id", "pos", F.size("run").alias("n_words"), "entity_id")
 
 
-def paired_claims(claim_rows: DataFrame, mentions: DataFrame) -> DataFrame:
+def paired_claims(claim_rows: DataFrame, mentions: DataFrame, names: DataFrame) -> DataFrame:
     """Claims with two different entities of their paragraph: the first two of which a name stands in the sentence.
 
-    An entity has one row for each of its names and synonyms. Names meet sentences by paragraph, not by a search
-    of every name in every sentence."""
-    met = claim_rows.join(mentions.select("paragraph_id", "entity_id", "name", "pos"), "paragraph_id").where(F.contains(F.lower("sentence"), F.lower("name")))
+    ``mentions`` is (paragraph_id, entity_id, pos), ``names`` (entity_id, name) with a row for each name and synonym. Names
+    meet sentences by paragraph, not by a search of every name in every sentence. Up to MOST_BROADCAST names are a broadcast that
+    meets the claims after their mentions do, so no name is shuffled; more of them meet the mentions first."""
+    placed = mentions.select("paragraph_id", "entity_id", "pos")
+    if names.count() <= MOST_BROADCAST:
+        met = claim_rows.join(placed, "paragraph_id").join(F.broadcast(names.select("entity_id", "name")), "entity_id")
+    else:
+        met = claim_rows.join(placed.join(names.select("entity_id", "name"), "entity_id"), "paragraph_id")
+    met = met.where(F.contains(F.lower("sentence"), F.lower("name")))
     ends = met.groupBy("paragraph_id", "no", "predicate", "sentence").agg(F.array_sort(F.collect_set(F.struct("pos", "entity_id"))).alias("m"))
     return ends.where(F.size("m") > 1).select("paragraph_id", "no", "predicate", F.get("m", F.lit(0))["entity_id"].alias("subject_id"), F.get("m", F.lit(1))["entity_id"].alias("object_id"))
 

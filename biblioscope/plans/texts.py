@@ -33,11 +33,11 @@ def _dictionary(s, d):
     return X.dictionary_mentions(_paragraphs(s, d), lookup.synonym_index(table(s, d, "reference_entities")))
 
 
-def _named(s, d):
-    """The reference entities a paragraph names, with each of their keys, in order of their ids."""
-    found = _dictionary(s, d).select("paragraph_id", "entity_id").distinct()
+def _paired(s, d):
+    """Claims with the reference entities their paragraphs name, by any of the keys, in order of the ids."""
+    found = _dictionary(s, d).select("paragraph_id", "entity_id").distinct().withColumn("pos", F.col("entity_id"))
     keys = lookup.synonym_index(table(s, d, "reference_entities")).where(F.col("key").rlike(r"[\p{L}\p{N}\-]")).select("entity_id", F.col("key").alias("name")).distinct()
-    return found.join(keys, "entity_id").select("paragraph_id", "entity_id", "name", F.col("entity_id").alias("pos"))
+    return X.paired_claims(X.all_claims(_paragraphs(s, d)), found, keys)
 
 
 def _chunks(s, d):
@@ -74,7 +74,7 @@ QUERIES = {
     "c11_clean_mentions": lambda s, d: X.clean_mentions(_edge_names(s, d)).select("paper_id", "name", "confidence"),
     "c13_contexts": lambda s, d: _paragraphs(s, d).select("paragraph_id", F.explode(X.places(F.col("text"), "disease")).alias("at"), "text").select("paragraph_id", X.context(F.col("text"), F.col("at"), F.col("at") + 7).alias("context")),
     "c14_listed_mentions": lambda s, d: table(s, d, "papers").select("paper_id", F.posexplode("entities").alias("pos", "e")).select("paper_id", F.col("pos").cast("long").alias("pos"), F.col("e.name").alias("name"), F.lower("e.type").alias("type"), F.col("e.id").alias("hint"), F.lit(0.9).alias("confidence")),
-    "j14_paired_claims": lambda s, d: X.paired_claims(X.all_claims(_paragraphs(s, d)), _named(s, d)).select("paragraph_id", F.col("no").cast("long").alias("no"), "predicate", "subject_id", "object_id"),
+    "j14_paired_claims": lambda s, d: _paired(s, d).select("paragraph_id", F.col("no").cast("long").alias("no"), "predicate", "subject_id", "object_id"),
     "k1_packed_chunks": _chunks,
     "k2_slices": lambda s, d: _paragraphs(s, d).select("paragraph_id", F.posexplode(X.slices(F.col("text"), 512)).alias("no", "slice")).select("paragraph_id", F.col("no").cast("long").alias("no"), "slice"),
     "e1_dictionary_mentions": lambda s, d: _dictionary(s, d).select("paragraph_id", F.col("pos").cast("long").alias("pos"), F.col("n_words").cast("long").alias("n_words"), "entity_id"),
